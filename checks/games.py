@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import query, table
+from checks.registry import query, spread, table
 from questlake.functions.text import joined_names
 from questlake.functions.variant import element_names, element_strings
 from questlake.operators import aggregate, quality
@@ -27,7 +27,7 @@ _TIES = ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "l_quanti
 
 
 def raw_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
+    rows = spread(table(spark, sf_dir, "lineitem")).join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
     line = F.col("l_linenumber")
 
     def named(value: Column | str) -> Column:

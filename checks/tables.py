@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.games import _avg
-from checks.registry import query, table
+from checks.registry import query, spread, table
 from questlake.functions.numeric import rounded_avg, weighted_score
 from questlake.functions.text import embed_text, non_blank
 from questlake.functions.variant import Field, lenient_date
@@ -171,7 +171,7 @@ _LONG = "(month(l_shipdate) >= 10 AND day(l_shipdate) >= 10)"
           THEN CAST(l_shipdate AS DATE) END AS day FROM lineitem""",
 )
 def try_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem")
+    rows = spread(table(spark, sf_dir, "lineitem"))
     return rows.select("l_orderkey", "l_linenumber", lenient_date(_date_text("l_shipdate")).alias("day"))
 
 
@@ -182,7 +182,7 @@ _REASON = f"""CASE WHEN l_linenumber >= 7 THEN 'missing'
 
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "lineitem")
+    rows = spread(table(spark, sf_dir, "lineitem"))
     return with_reason(rows, _date_text("l_shipdate"), *window_bounds(*_WINDOW))
 
 
@@ -333,7 +333,7 @@ def average_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def flag_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys repeat over rows and names within a row, so the distinct count is needed."""
-    rows = table(spark, sf_dir, "lineitem").withColumn("percent", F.round(F.col("l_discount") * 100).cast("int"))
+    rows = spread(table(spark, sf_dir, "lineitem")).withColumn("percent", F.round(F.col("l_discount") * 100).cast("int"))
     names = F.array("l_returnflag", "l_linestatus", "l_returnflag", F.lit(None).cast("string"))
     return aggregate.name_trends(
         rows, names, day="l_shipdate", key="l_orderkey", rating="l_quantity", critic="percent", name="name", min_year=1996
@@ -470,11 +470,11 @@ def embed_text_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
               SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS token FROM documents))
           GROUP BY doc_id, slot),
         norms AS (SELECT doc_id, sqrt(sum(n * n)) AS norm FROM counts GROUP BY doc_id)
-        SELECT doc_id, slot, round(n / norm, 4) AS weight FROM counts JOIN norms USING (doc_id)""",
+        SELECT doc_id, slot, round(CAST(CAST(n / norm AS FLOAT) AS DOUBLE), 4) AS weight FROM counts JOIN norms USING (doc_id)""",
 )
 def embed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole text of every document; the non-zero slots of its vector."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     vectors = with_embedding(documents, F.col("text"), hashed_words(64), batch_size=200)
     slots = vectors.select("doc_id", F.posexplode("embedding").alias("slot", "weight")).where("weight > 0")
     return slots.select("doc_id", F.col("slot").cast("bigint").alias("slot"), F.round(F.col("weight").cast("double"), 4).alias("weight"))

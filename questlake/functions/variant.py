@@ -36,17 +36,16 @@ def iso_date(text: Column) -> Column:
     week = r"^(\d{4})(-?)W(\d{2})(?:\2(\d))?$"
 
     def part(n: int) -> Column:
-        return F.regexp_extract(text, week, n)
-
-    first_monday = F.trunc(F.try_to_date(F.concat(part(1), F.lit("-01-04"))), "week")
-    week_no, day_no = part(3).try_cast("int"), F.coalesce(part(4).try_cast("int"), F.lit(1))
-    monday = F.date_add(first_monday, (week_no - 1) * 7)
-    # A week belongs to the year that holds its Thursday; this rejects week 53 of short years.
-    fits = (week_no >= 1) & day_no.between(1, 7) & (F.year(F.date_add(monday, 3)) == part(1).try_cast("int"))
-    return F.coalesce(
-        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), lenient_date(text)),
-        F.when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd")),
-        F.when(text.rlike(week) & fits, F.date_add(monday, day_no - 1)),
+        return F.regexp_extract(text, week, n).try_cast("int")
+
+    # The 4th of January lies in week 1; a week belongs to the year that holds its Thursday.
+    monday = F.date_add(F.trunc(F.make_date(part(1), F.lit(1), F.lit(4)), "week"), (part(3) - 1) * 7)
+    day = F.coalesce(part(4), F.lit(1))
+    fits = part(3).between(1, 53) & day.between(1, 7) & (F.year(F.date_add(monday, 3)) == part(1))
+    return (
+        F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), lenient_date(text))
+        .when(text.rlike(r"^\d{8}$"), F.try_to_date(text, "yyyyMMdd"))
+        .when(text.rlike(week), F.when(fits, F.date_add(monday, day - 1)))
     )
 
 
@@ -62,14 +61,12 @@ def field(raw: Column, spec: Field, strict: bool = True) -> Column:
 
 
 def cast_failures(raw: Column, specs: Sequence[Field]) -> Column:
-    """Names of the numeric fields that hold a value which does not cast, or ``''``."""
+    """Names of the numeric fields that hold a value which did not cast, or ``''``; reads the
+    columns already extracted without ``strict``, and the document only where one is NULL."""
     return F.concat_ws(
         ",",
         *[
-            F.when(
-                F.try_variant_get(raw, s.path, "string").isNotNull() & field(raw, s, False).isNull(),
-                F.lit(s.name),
-            )
+            F.when(F.col(s.name).isNull() & F.try_variant_get(raw, s.path, "string").isNotNull(), F.lit(s.name))
             for s in specs
             if s.kind in ("bigint", "int", "double")
         ],

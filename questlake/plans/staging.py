@@ -64,11 +64,10 @@ def latest(
     key = fields[0].name
     keyed = raw.where(has_key(F.col("raw_data"), fields[0].path))
     carried = [c for c in raw.columns if c != "raw_data" and c not in {f.name for f in fields}]
-    failures = cast_failures(F.col("raw_data"), fields) if strict else F.lit("")
-    typed = keyed.withColumn("_failed", failures).select(
-        *[field(F.col("raw_data"), f, strict=False).alias(f.name) for f in fields], *carried, "_failed"
-    )
-    rows = latest_by_key(typed, [key], F.col(version), ties)
+    typed = keyed.select(*[field(F.col("raw_data"), f, strict=False).alias(f.name) for f in fields], *carried, "raw_data")
+    if strict:
+        typed = typed.withColumn("_failed", cast_failures(F.col("raw_data"), fields))
+    rows = latest_by_key(typed.drop("raw_data"), [key], F.col(version), ties)
     if strict:
         message = F.concat(F.lit("values that do not cast: "), F.col("_failed"))
         rows = rows.withColumn(key, F.when(F.col("_failed") != "", F.raise_error(message)).otherwise(F.col(key)))
