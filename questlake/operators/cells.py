@@ -15,21 +15,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from questlake.functions.bound import bound
 from questlake.operators.vector import cosine_topk, unit_rows
+from questlake.session import materialise
 
 CENTRE_BYTES = 256 << 20
 ROWS_PER_CELL = 256
 _SLACK = 1e-9
 
 
-def _unit(vector: str):
+def _unit(vector: str) -> Column:
     value = F.col(vector).cast("array<double>")
     norm = F.sqrt(F.aggregate(value, F.lit(0.0), lambda total, x: total + x * x))
-    return F.when(norm > 0, F.transform(value, lambda x: x / norm))
+    return bound(norm, lambda n: F.when(n > 0, F.transform(value, lambda x: x / n)))
 
 
 def build_cells(
@@ -37,8 +39,8 @@ def build_cells(
 ) -> None:
     """Write the index of ``vectors`` to ``path``.
 
-    Centres are fitted by k-means, on a sample where there are more than 256 vectors per cell;
-    every vector is then assigned and written. The centres are the only thing held on the
+    Centres are fitted by k-means, on a stored sample if there are more than 256 vectors per
+    cell; every vector is then assigned and written. The centres are the only thing held on the
     driver and broadcast; their size is limited. Large cells are split over several files.
     """
     spark = vectors.sparkSession
@@ -52,8 +54,9 @@ def build_cells(
         raise ValueError(f"{cells} centres of {dims} elements exceed {CENTRE_BYTES} bytes")
 
     fraction = min(1.0, ROWS_PER_CELL * cells / size.n)
-    train = present.select(array_to_vector(_unit(vector)).alias("features")).where(F.col("features").isNotNull())
-    train = train if fraction == 1.0 else train.sample(fraction, seed)
+    chosen = present if fraction == 1.0 else present.sample(fraction, seed)
+    units = chosen.select(_unit(vector).alias("unit")).where(F.col("unit").isNotNull())
+    train = materialise(units, "training").select(array_to_vector("unit").alias("features"))
     centres = np.array(KMeans(k=cells, seed=seed, maxIter=10).fit(train).clusterCenters())
     shared = spark.sparkContext.broadcast(centres)
 

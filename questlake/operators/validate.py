@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from questlake.functions.bound import bound
 from questlake.functions.variant import iso_date
 
 # The reasons reported for dropped rows.
@@ -22,13 +22,6 @@ def window_bounds(as_of: dt.date | None = None, days: int = 7) -> tuple[dt.date,
     return end - dt.timedelta(days=days - 1), end
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once per row. Spark pushes filters on a computed
-    column below the projection and writes its expression out at every use; a lambda's
-    argument is not written out."""
-    return F.transform(F.array(value), use)[0]
-
-
 def reject_reason(released: Column, start: dt.date, end: dt.date) -> Column:
     """NULL for text that is a date within ``[start, end]``, else why it is not."""
 
@@ -37,9 +30,9 @@ def reject_reason(released: Column, start: dt.date, end: dt.date) -> Column:
         return F.when(day.isNull(), UNPARSEABLE).when(~inside, OUT_OF_WINDOW)
 
     def judge(text: Column) -> Column:
-        return F.when(text.isNull() | (text == ""), MISSING).otherwise(_bound(iso_date(text), judge_day))
+        return F.when(text.isNull() | (text == ""), MISSING).otherwise(bound(iso_date(text), judge_day))
 
-    return _bound(released, judge)
+    return bound(released, judge)
 
 
 def with_reason(df: DataFrame, released: Column, start: dt.date, end: dt.date) -> DataFrame:
