@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +49,19 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shredded_variants(spark: SparkSession) -> Iterator[None]:
+    """Within it, parquet writes store the common paths of variants as typed columns. A scan
+    then reads the paths a query extracts and not whole documents."""
+    name = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -56,5 +71,6 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = new_dir(spark, name)
-    df.write.parquet(path)
+    with shredded_variants(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

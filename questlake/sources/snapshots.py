@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from questlake.operators.merge import upsert_by_key
-from questlake.session import materialise
+from questlake.session import materialise, shredded_variants
 from questlake.sources import hdfs
 
 _POINTER = "_CURRENT"
@@ -25,7 +25,8 @@ def publish(df: DataFrame, base: str, name: str, columns: Sequence[str], keep: i
     spark, counted = df.sparkSession, Observation()
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     version = f"v-{stamp}-{uuid.uuid4().hex[:8]}"
-    df.select(*columns).observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/{name}/{version}")
+    with shredded_variants(spark):
+        df.select(*columns).observe(counted, F.count(F.lit(1)).alias("n")).write.parquet(f"{base}/{name}/{version}")
     hdfs.replace_small(spark, f"{base}/{name}/{_POINTER}", version)
     versions = [v for v in hdfs.child_folders(spark, f"{base}/{name}") if v.startswith("v-")]
     for old in versions[:-keep]:

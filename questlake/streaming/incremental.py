@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from questlake.session import shredded_variants
 from questlake.sources import hdfs
 from questlake.sources.jsonl import load_stamp
 
@@ -41,14 +42,15 @@ def load_new_files(
         load_stamp(loaded_at).alias("loaded_at"),
         F.col("_metadata.file_path").alias("source_file"),
     ).where(F.col("raw_data").isNotNull())
-    query = (
-        docs.writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    with shredded_variants(spark):
+        query = (
+            docs.writeStream.format("parquet")
+            .option("path", target)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
