@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from questlake.functions.bound import bound
+
 # Whole numbers are read as decimals first so that 12.5 rounds to 13 rather than being cut.
 _NUMBER = "decimal(38,6)"
 
@@ -98,6 +100,8 @@ def element_names(value: Column, path: str = "$.name") -> Column:
 def overlay(base: Column, top: Column) -> Column:
     """Merge two variant objects; a key present in ``top`` wins even if its value is null."""
     left = F.variant_get(base, "$", "map<string,variant>")
-    right = F.variant_get(top, "$", "map<string,variant>")
-    kept = F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k))
-    return F.to_variant_object(F.map_concat(kept, right))
+
+    def merge(right: Column) -> Column:
+        return F.map_concat(F.map_filter(left, lambda k, _: ~F.map_contains_key(right, k)), right)
+
+    return F.to_variant_object(bound(F.variant_get(top, "$", "map<string,variant>"), merge))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from questlake.functions.bound import bound
 from questlake.functions.numeric import rounded_avg
 
 
@@ -26,11 +27,15 @@ def unnest_names(df: DataFrame, names: Column, output: str = "name") -> DataFram
     ``first_in_row`` marks the first of equal names within a row. The explode is narrow: a row
     with a long array is expanded where it lies.
     """
-    first = F.transform(
-        names, lambda n, i: F.struct(n.alias("name"), (F.array_position(names, n) == i + 1).alias("first"))
-    )
+
+    def marked(all_names: Column) -> Column:
+        def mark(n: Column, i: Column) -> Column:
+            return F.struct(n.alias("name"), (F.array_position(all_names, n) == i + 1).alias("first"))
+
+        return F.transform(all_names, mark)
+
     return (
-        df.withColumn("_element", F.explode(first))
+        df.withColumn("_element", F.explode(bound(names, marked)))
         .withColumn(output, F.col("_element.name"))
         .withColumn("first_in_row", F.col("_element.first"))
         .where(F.col(output).isNotNull())

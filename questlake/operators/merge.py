@@ -1,7 +1,7 @@
 """Joins on a key: pending rows, enrichment, upsert and update.
 
 Rows with a NULL key never match. Left as they are they would all hash to one task, so each
-join adds a second key that is the row's input partition for NULL keys and 0 otherwise.
+join adds a second key: the row's input partition for NULL keys, 0 for others.
 """
 
 from __future__ import annotations
@@ -17,14 +17,21 @@ _SPREAD = "_null_spread"
 
 
 def _spread_nulls(df: DataFrame, key: str) -> DataFrame:
-    return df.withColumn(_SPREAD, F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(F.lit(0)))
+    spread = F.when(F.col(key).isNull(), F.spark_partition_id()).otherwise(F.lit(0))
+    return df.withColumn(_SPREAD, spread.cast("bigint"))
+
+
+def _zero(key: str) -> Column:
+    """The second key of a side without NULL keys: 0, but not as a literal, which the optimiser
+    would take out of the join keys again."""
+    return F.pmod(F.xxhash64(key), F.lit(1).cast("bigint")).alias(_SPREAD)
 
 
 def pending_rows(source: DataFrame, stored: DataFrame, key: str, filled: str | None = None) -> DataFrame:
     """Rows of ``source`` whose key has no stored row; with ``filled``, a stored row counts
     only if that column is set. Rows with a NULL key are always pending."""
     done = stored if filled is None else stored.where(F.col(filled).isNotNull())
-    done = done.select(key).where(F.col(key).isNotNull()).withColumn(_SPREAD, F.lit(0))
+    done = done.where(F.col(key).isNotNull()).select(key, _zero(key))
     return _spread_nulls(source, key).join(done, [key, _SPREAD], "left_anti").drop(_SPREAD)
 
 
@@ -35,7 +42,7 @@ def enrich_merge(records: DataFrame, details: DataFrame, key: str, doc: str = "r
     detail wins even if null; records without a key or a detail stay as they are. Many
     records may share a key: AQE splits such a join partition on the record side.
     """
-    right = details.select(key, F.col(doc).alias("_detail")).where(F.col(key).isNotNull()).withColumn(_SPREAD, F.lit(0))
+    right = details.where(F.col(key).isNotNull()).select(key, _zero(key), F.col(doc).alias("_detail"))
     joined = _spread_nulls(records, key).join(right, [key, _SPREAD], "left")
     merged = F.when(F.col("_detail").isNotNull(), overlay(F.col(doc), F.col("_detail"))).otherwise(F.col(doc))
     return joined.withColumn(doc, merged).select(*records.columns)
@@ -79,7 +86,7 @@ def update_by_key(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     effect. Keys must be unique in ``updates``."""
     changed = [c for c in updates.columns if c != key]
     right = updates.where(F.col(key).isNotNull()).select(
-        key, *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(0).alias(_SPREAD), F.lit(True).alias("_hit")
+        key, _zero(key), *[F.col(c).alias(f"_new_{c}") for c in changed], F.lit(True).alias("_hit")
     )
     joined = _spread_nulls(target, key).join(right, [key, _SPREAD], "left")
     return joined.select(

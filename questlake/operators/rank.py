@@ -43,16 +43,17 @@ def rank_rows(
         df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(_POS, F.monotonically_increasing_id()),
         "ranked",
     )
-    ranked = placed.withColumn(_PART, F.shiftright(_POS, _ROW_BITS))
+    numbered = placed.withColumn(_PART, F.shiftright(_POS, _ROW_BITS))
+    ranked = numbered
 
     if overall:
-        sizes = ranked.groupBy(_PART).agg(F.count("*").alias(_COUNT))
+        sizes = numbered.groupBy(_PART).agg(F.count("*").alias(_COUNT))
         starts = sizes.select(_PART, _before(Window.orderBy(_PART)))
         in_part = F.col(_POS).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
         ranked = ranked.join(F.broadcast(starts), _PART).withColumn(overall, F.col(_BEFORE) + in_part + 1).drop(_BEFORE)
 
     for name, groups in (within or {}).items():
-        sizes = ranked.groupBy(_PART, *groups).agg(F.count("*").alias(_COUNT))
+        sizes = numbered.groupBy(_PART, *groups).agg(F.count("*").alias(_COUNT))
         starts = sizes.select(
             F.col(_PART).alias("_p"),
             *[F.col(g).alias(f"_g_{g}") for g in groups],

@@ -111,9 +111,16 @@ def cosine_topk(vectors: DataFrame, query: Sequence[float], k: int, key: str, ve
 
 
 def with_details(hits: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """The rows of ``table`` for a top-k result. Only key and vector were read to find the
-    hits; the at most ``MAX_LIMIT`` of them are broadcast to fetch the other columns."""
-    return table.join(F.broadcast(hits), key)
+    """The rows of ``table`` for a top-k result, of at most ``MAX_LIMIT`` rows.
+
+    Only key and vector were read to find the hits. Their keys are collected and pushed to the
+    scan as literals, so that the other columns are read where those keys can be.
+    """
+    found = hits.limit(MAX_LIMIT + 1).collect()
+    if len(found) > MAX_LIMIT:
+        raise ValueError(f"more than {MAX_LIMIT} hits; join them to the table instead")
+    rows = hits.sparkSession.createDataFrame(found, hits.schema)
+    return table.where(F.col(key).isin([r[key] for r in found])).join(F.broadcast(rows), key)
 
 
 def _best(scored: DataFrame, query_key: str, key: str, k: int) -> DataFrame:

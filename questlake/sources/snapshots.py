@@ -61,7 +61,8 @@ def merge_buckets(
 
     Only buckets that a change falls into are read and rewritten; keep ``buckets`` the same for
     the life of a table. The new content of those buckets is first written to the shared
-    folder, so a failed overwrite can be repeated. A NULL key is an error, as it would be for
+    folder, so a failed overwrite can be repeated. Files are sorted by key, for scans that look
+    for a few keys. A NULL key is an error, as it would be for
     a primary key. The list of touched buckets, at most ``buckets`` numbers, is collected.
     """
     spark = changes.sparkSession
@@ -78,6 +79,7 @@ def merge_buckets(
     placed = incoming.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", "bucket")
     (
         materialise(placed, "merge")
+        .sortWithinPartitions("bucket", key)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("bucket")

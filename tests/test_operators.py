@@ -83,6 +83,18 @@ def test_pending_rows(spark):
     assert sorted(str(r.id) for r in left) == ["2", "3", "None", "None"]
 
 
+@pytest.mark.parametrize("join", [pending_rows, update_by_key])
+def test_null_keys_are_spread_over_tasks(spark, join):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(9).select(F.nullif("id", F.lit(1)).alias("id"), F.lit("a").alias("name"))
+        plan = join(left, left, "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert len(keys) == 2 and all("_null_spread" in line for line in keys)
+
+
 def test_enrich_merge(spark, docs):
     records = docs('{"id": 1, "rating": 4.5}', '{"id": 2, "rating": 4.0}', '{"name": "x"}', '{"id": 1, "again": true}')
     details = docs('{"id": 1, "description_raw": "d", "rating": null}', '{"id": 9, "description_raw": "other"}')
