@@ -63,7 +63,8 @@ def embedding(text: Column, embed: Embedder, input_type: str = "document", batch
 
     # pandas_udf reads the evaluation type from these hints; postponed ones name no local type.
     run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, T.ArrayType(T.FloatType()))(text)
+    # Not to be run again for a filter that the optimiser infers from how the result is used.
+    return F.pandas_udf(run, T.ArrayType(T.FloatType())).asNondeterministic()(text)
 
 
 def with_embedding(
