@@ -22,8 +22,11 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 
 
 def load_stamp(loaded_at: dt.datetime | None) -> Column:
-    """One load time for the whole load: the given one, for a replay, or the current."""
-    return F.lit(loaded_at).cast("timestamp") if loaded_at else F.current_timestamp()
+    """One load time for the whole load: the given one, for a replay, or the current. A time
+    without a zone is in the session's zone, wherever the driver runs."""
+    if loaded_at is None:
+        return F.current_timestamp()
+    return F.lit(str(loaded_at)).cast("timestamp")
 
 
 def read_raw(spark: SparkSession, paths: str | Sequence[str], loaded_at: dt.datetime | None = None) -> DataFrame:
