@@ -15,13 +15,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from questlake.functions.bound import bound
+from questlake.operators.merge import pending_rows
 from questlake.operators.vector import cosine_topk, unit_rows
 from questlake.session import materialise
+from questlake.sources.snapshots import publish, read_published
 
 CENTRE_BYTES = 256 << 20
 ROWS_PER_CELL = 256
@@ -34,35 +36,13 @@ def _unit(vector: str) -> Column:
     return bound(norm, lambda n: F.when(n > 0, F.transform(value, lambda x: x / n)))
 
 
-def build_cells(
-    vectors: DataFrame, path: str, key: str, vector: str = "embedding", cells: int | None = None, seed: int = 7
-) -> None:
-    """Write the index of ``vectors`` to ``path``.
-
-    Centres are fitted by k-means, on a stored sample if there are more than 256 vectors per
-    cell; every vector is then assigned and written. The centres are the only thing held on the
-    driver and broadcast; their size is limited. Large cells are split over several files.
-    """
-    spark = vectors.sparkSession
-    present = vectors.select(key, vector).where(F.col(vector).isNotNull())
-    size = present.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("dims")).first()
-    if not size.n:
-        raise ValueError("no vectors to index")
-    dims = size.dims
-    cells = cells or max(1, min(isqrt(size.n), CENTRE_BYTES // (8 * dims)))
-    if cells * dims * 8 > CENTRE_BYTES:
-        raise ValueError(f"{cells} centres of {dims} elements exceed {CENTRE_BYTES} bytes")
-
-    fraction = min(1.0, ROWS_PER_CELL * cells / size.n)
-    chosen = present if fraction == 1.0 else present.sample(fraction, seed)
-    units = chosen.select(_unit(vector).alias("unit")).where(F.col("unit").isNotNull())
-    train = materialise(units, "training").select(array_to_vector("unit").alias("features"))
-    centres = np.array(KMeans(k=cells, seed=seed, maxIter=10).fit(train).clusterCenters())
-    shared = spark.sparkContext.broadcast(centres)
+def _place(present: DataFrame, key: str, vector: str, centres: np.ndarray) -> DataFrame:
+    """``(key, vector, cell, gap)``: the nearest centre of each vector and how far it is."""
+    shared = present.sparkSession.sparkContext.broadcast(centres)
 
     def assign(batches):
         middle = shared.value
-        squares = (middle * middle).sum(axis=1)
+        squares, dims = (middle * middle).sum(axis=1), middle.shape[1]
         step = max(1, 4_000_000 // len(middle))
         for batch in batches:
             for at in range(0, batch.num_rows, step):
@@ -81,17 +61,73 @@ def build_cells(
                 columns = [part.column(0), part.column(1), pa.array(cell), pa.array(gap)]
                 yield pa.RecordBatch.from_arrays(columns, [key, vector, "cell", "gap"])
 
-    schema = T.StructType(
-        [present.schema[key], present.schema[vector], T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType())]
-    )
-    placed = present.mapInArrow(assign, schema).hint("rebalance", "cell")
-    placed.write.mode("overwrite").partitionBy("cell").parquet(f"{path}/vectors")
+    fields = [present.schema[key], present.schema[vector]]
+    fields += [T.StructField("cell", T.IntegerType()), T.StructField("gap", T.DoubleType())]
+    return present.mapInArrow(assign, T.StructType(fields))
+
+
+def _write_cell_table(spark: SparkSession, path: str, centres: np.ndarray) -> None:
+    """One row per centre, and one for the cell of zero vectors if there are any."""
     written = spark.read.parquet(f"{path}/vectors")
-    centre_rows = spark.createDataFrame(
-        [(i, c.tolist()) for i, c in enumerate(centres)], "cell int, centre array<double>"
-    )
     stats = written.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius"))
-    stats.join(centre_rows, "cell", "left").coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
+    rows = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "cell int, centre array<double>")
+    publish(stats.join(rows, "cell", "full").coalesce(1), path, "cells", ["cell", "n", "radius", "centre"])
+
+
+def _write_vectors(placed: DataFrame, path: str, mode: str) -> None:
+    # Rebalancing gathers a cell into few files and splits a cell too large for one task.
+    placed.hint("rebalance", "cell").write.mode(mode).partitionBy("cell").parquet(f"{path}/vectors")
+
+
+def build_cells(
+    vectors: DataFrame, path: str, key: str, vector: str = "embedding", cells: int | None = None, seed: int = 7
+) -> None:
+    """Write the index of ``vectors`` to ``path``.
+
+    Centres are fitted by k-means, on a stored sample if there are more than 256 vectors per
+    cell; every vector is then assigned and written. The centres are the only thing held on the
+    driver and broadcast; their size is limited.
+    """
+    present = vectors.select(key, vector).where(F.col(vector).isNotNull())
+    size = present.agg(F.count("*").alias("n"), F.max(F.size(vector)).alias("dims")).first()
+    if not size.n:
+        raise ValueError("no vectors to index")
+    cells = max(2, cells or min(isqrt(size.n), CENTRE_BYTES // (8 * size.dims)))
+    if cells * size.dims * 8 > CENTRE_BYTES:
+        raise ValueError(f"{cells} centres of {size.dims} elements exceed {CENTRE_BYTES} bytes")
+
+    fraction = min(1.0, ROWS_PER_CELL * cells / size.n)
+    chosen = present if fraction == 1.0 else present.sample(fraction, seed)
+    units = chosen.select(_unit(vector).alias("unit")).where(F.col("unit").isNotNull())
+    train = materialise(units, "training")
+    some = train.distinct().limit(2).collect()
+    if not some:
+        raise ValueError("all vectors are zero")
+    if len(some) == 1:
+        centres = np.array([some[0].unit])
+    else:
+        features = train.select(array_to_vector("unit").alias("features"))
+        centres = np.array(KMeans(k=cells, seed=seed, maxIter=10).fit(features).clusterCenters())
+    _write_vectors(_place(present, key, vector, centres), path, "overwrite")
+    _write_cell_table(vectors.sparkSession, path, centres)
+
+
+def _cells(spark: SparkSession, path: str) -> list[Row]:
+    return read_published(spark, path, "cells").collect()
+
+
+def refresh_cells(vectors: DataFrame, path: str, key: str, vector: str = "embedding") -> None:
+    """Add the vectors whose key the index does not hold yet; the centres stay as they are.
+
+    Finds them by an anti-join on the key, so a run that failed halfway can be repeated.
+    """
+    spark = vectors.sparkSession
+    centres = np.array([r.centre for r in sorted(_cells(spark, path)) if r.centre is not None])
+    present = vectors.select(key, vector).where(F.col(vector).isNotNull())
+    new = pending_rows(present, spark.read.parquet(f"{path}/vectors").select(key), key)
+    # Stored first: the index is not appended to while it is read.
+    _write_vectors(materialise(_place(new, key, vector, centres), "cells"), path, "append")
+    _write_cell_table(spark, path, centres)
 
 
 def search_cells(
@@ -110,7 +146,7 @@ def search_cells(
     cells; the scans read the directories of those cells only.
     """
     table = spark.read.parquet(f"{path}/vectors")
-    cells = spark.read.parquet(f"{path}/cells").select("cell", "radius", "centre").collect()
+    cells = [r for r in _cells(spark, path) if r.n]
     unit = unit_rows(query)[0]
     away = {r.cell: float(np.linalg.norm(unit - np.array(r.centre))) for r in cells if r.centre is not None}
     order = sorted(away, key=away.get)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from questlake.functions.text import embed_text, joined_names, non_blank, preview
 from questlake.functions.variant import element_strings
+from questlake.operators.cells import build_cells, refresh_cells, search_cells
 from questlake.operators.embed import Embedder, embedding, with_embedding
 from questlake.operators.merge import pending_rows
 from questlake.operators.vector import clamp_limit, cosine_topk, with_details
@@ -43,8 +44,10 @@ def sync_embeddings(
     now: dt.datetime | None = None,
     buckets: int = 64,
     partitions: int | None = None,
+    index: str | None = None,
 ) -> dict[str, object]:
-    """Embed the pending games and merge them into the vector table at ``store``.
+    """Embed the pending games and merge them into the vector table at ``store``; with
+    ``index``, bring the cell index there up to date.
 
     Stored vectors are never refreshed. Metadata and vector are merged in one job, after the
     vectors were computed once; a run that fails before leaves the table as it was.
@@ -60,6 +63,9 @@ def sync_embeddings(
         merge_buckets(
             ready, store, "game_id", [*METADATA, "embedding"], {"synced_at": stamp, "embedded_at": stamp}, buckets
         )
+    if index and hdfs.exists(spark, store):
+        update = refresh_cells if hdfs.exists(spark, f"{index}/cells") else build_cells
+        update(spark.read.parquet(store), index, "game_id")
     return {"status": "ok", "embedded": count, "skipped": 0}
 
 
@@ -71,9 +77,14 @@ def embed_query(spark: SparkSession, text: str, embed: Embedder) -> list[float]:
     return list(row.v)
 
 
-def search(table: DataFrame, query: Sequence[float], limit: object = None) -> DataFrame:
-    """The games nearest to the query vector, nearest first, with a preview of the text."""
-    hits = cosine_topk(table, query, clamp_limit(limit), "game_id")
+def search(table: DataFrame, query: Sequence[float], limit: object = None, index: str | None = None) -> DataFrame:
+    """The games nearest to the query vector, nearest first, with a preview of the text. With
+    the cell index of the table, only cells that can hold a hit are read; the hits are the same."""
+    k = clamp_limit(limit)
+    if index:
+        hits = search_cells(table.sparkSession, index, query, k, "game_id")
+    else:
+        hits = cosine_topk(table, query, k, "game_id")
     return (
         with_details(hits, table, "game_id")
         .select(

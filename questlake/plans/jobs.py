@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from questlake.functions.variant import has_key
@@ -17,7 +17,7 @@ from questlake.operators.validate import split_window, window_bounds
 from questlake.plans import marts, staging
 from questlake.plans.embed_sync import sync_embeddings
 from questlake.session import materialise
-from questlake.sources.jsonl import entity_path, load_summary, read_raw, write_bronze
+from questlake.sources.jsonl import entity_path, read_raw, write_bronze
 from questlake.sources.pages import page_results
 from questlake.sources.snapshots import publish, read_published
 from questlake.streaming.incremental import load_new_files, read_raw_table
@@ -66,13 +66,13 @@ def ingest(spark: SparkSession, landing: str, bronze: str, as_of: dt.date | None
     details = read_raw(spark, entity_path(landing, "details"))
     docs = {e: page_results(pages[e]) for e in ENTITIES if e != "games"}
     docs["games"] = fetched_games(pages["games"], details, end, days)
-    parts = []
-    for entity, rows in docs.items():
-        stored = materialise(rows.withColumn("ingest_date", F.lit(end)), entity)
-        write_bronze(stored, bronze, entity)
-        parts.append(stored.select(F.lit(entity).alias("entity"), "raw_data"))
-    counted = load_summary(parts[0].unionByName(parts[1]).unionByName(parts[2])).collect()
-    return {e: sum(r.loaded for r in counted if r.entity == e) for e in ENTITIES}
+    counts = {}
+    for entity in ENTITIES:
+        counted = Observation()
+        rows = docs[entity].withColumn("ingest_date", F.lit(end)).observe(counted, F.count(F.lit(1)).alias("n"))
+        write_bronze(rows, bronze, entity)
+        counts[entity] = counted.get["n"]
+    return counts
 
 
 def build_staging(raw: dict[str, DataFrame], base: str, ties: tuple[Column, ...] = ()) -> dict[str, DataFrame]:

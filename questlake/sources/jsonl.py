@@ -8,12 +8,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from questlake.functions.variant import element_names
+from questlake.functions.variant import element_names, lenient_date
 
 
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``value`` and the ``source_file`` it came from, plus partition columns of the path."""
-    return spark.read.text(paths).withColumn("source_file", F.col("_metadata.file_path"))
+def read_lines(spark: SparkSession, paths: str | Sequence[str], dated: bool = False) -> DataFrame:
+    """``value`` and the ``source_file`` it came from, plus partition columns of the path.
+
+    ``dated=True`` reads plain date folders (``games/2026-06-13/data.jsonl``), which Spark does
+    not take for partitions, and takes ``ingest_date`` from the path. To read some dates only,
+    give their folders.
+    """
+    reader = spark.read.option("recursiveFileLookup", "true") if dated else spark.read
+    lines = reader.text(paths).withColumn("source_file", F.col("_metadata.file_path"))
+    if not dated:
+        return lines
+    day = F.regexp_extract("source_file", r"/(\d{4}-\d{2}-\d{2})/[^/]*$", 1)
+    return lines.withColumn("ingest_date", lenient_date(day))
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -29,9 +39,11 @@ def load_stamp(loaded_at: dt.datetime | None) -> Column:
     return F.lit(str(loaded_at)).cast("timestamp")
 
 
-def read_raw(spark: SparkSession, paths: str | Sequence[str], loaded_at: dt.datetime | None = None) -> DataFrame:
+def read_raw(
+    spark: SparkSession, paths: str | Sequence[str], loaded_at: dt.datetime | None = None, dated: bool = False
+) -> DataFrame:
     """The valid documents as ``raw_data`` with ``loaded_at``; malformed lines are skipped."""
-    parsed = parse_lines(read_lines(spark, paths)).where(F.col("raw_data").isNotNull())
+    parsed = parse_lines(read_lines(spark, paths, dated)).where(F.col("raw_data").isNotNull())
     return parsed.drop("value").withColumn("loaded_at", load_stamp(loaded_at))
 
 

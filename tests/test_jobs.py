@@ -144,8 +144,13 @@ def test_failing_test_stops_publish_and_embed(spark, tmp_path):
 def test_stored_but_not_embedded_is_pending(spark, docs, tmp_path):
     rows = staged(docs, game(1, description_raw="d"), game(2, description_raw="d"))
     store = str(tmp_path / "vectors")
-    assert sync_embeddings(rows.where("game_id = 1"), store, hashed_words())["embedded"] == 1
+    index = str(tmp_path / "index")
+    assert sync_embeddings(rows.where("game_id = 1"), store, hashed_words(), index=index)["embedded"] == 1
     stored = spark.read.parquet(store)
     unfinished = stored.withColumn("embedded_at", F.lit(None).cast("timestamp"))
     assert {r.game_id for r in pending_games(rows, stored).collect()} == {2}
     assert {r.game_id for r in pending_games(rows, unfinished).collect()} == {1, 2}
+    assert sync_embeddings(rows, store, hashed_words(), index=index)["embedded"] == 1
+    query = embed_query(spark, "d", hashed_words())
+    plain, indexed = (search(spark.read.parquet(store), query, index=i).collect() for i in (None, index))
+    assert plain == indexed and len(plain) == 2

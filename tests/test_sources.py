@@ -26,6 +26,15 @@ def test_malformed_line_is_skipped_and_reported(spark, tmp_path):
     assert [r.value for r in read_rejects(spark, str(tmp_path)).collect()] == ["{bad"]
 
 
+def test_plain_date_folders(spark, tmp_path):
+    for day, line in (("2026-06-13", '{"id":1}'), ("2026-06-20", '{"id":2}')):
+        (tmp_path / "games" / day).mkdir(parents=True)
+        (tmp_path / "games" / day / "data.jsonl").write_text(line + "\n")
+    rows = read_raw(spark, f"{tmp_path}/games", dated=True)
+    assert {str(r.ingest_date) for r in rows.collect()} == {"2026-06-13", "2026-06-20"}
+    assert texts(read_raw(spark, f"{tmp_path}/games/2026-06-20", dated=True)) == ['{"id":2}']
+
+
 def test_bronze_replaces_its_date_only(spark, docs, tmp_path):
     base = str(tmp_path)
     day = lambda text: F.lit(text).cast("date")

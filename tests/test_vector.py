@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from questlake.operators.cells import build_cells, search_cells
+from questlake.operators.cells import build_cells, refresh_cells, search_cells
 from questlake.operators.embed import hashed_words, with_embedding
 from questlake.operators.vector import clamp_limit, cosine_topk, cosine_topk_batch
 from questlake.plans.embed_sync import embed_query, search
@@ -88,6 +88,17 @@ def test_cells_are_exact_unless_approximate(spark, table, vectors, tmp_path):
     assert 5 in near
 
 
+def test_refresh_adds_new_vectors_once(spark, table, vectors, tmp_path):
+    path = str(tmp_path / "index")
+    build_cells(table.where("id < 100"), path, "id", cells=5)
+    for _ in range(2):
+        refresh_cells(table, path, "id")
+        assert spark.read.parquet(f"{path}/vectors").count() == 600
+    for n in (0, 5, 599):
+        got = search_cells(spark, path, vectors[n].tolist(), 10, "id", probes=1).orderBy("distance", "id").collect()
+        assert [r.id for r in got] == brute(vectors, vectors[n], 10)
+
+
 def test_embedding_batches_and_nulls(spark):
     def model(texts, input_type):
         assert len(texts) <= 20 and input_type == "document"
