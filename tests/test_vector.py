@@ -88,6 +88,15 @@ def test_cells_are_exact_unless_approximate(spark, table, vectors, tmp_path):
     assert 5 in near
 
 
+@pytest.mark.parametrize("distinct", [1, 2, 3])
+def test_more_cells_than_distinct_vectors(spark, distinct, tmp_path):
+    rows = [(i, [1.0, float(i % distinct)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>")
+    build_cells(df, str(tmp_path / "i"), "id", cells=8)
+    got = search_cells(spark, str(tmp_path / "i"), [1.0, 0.0], 4, "id").orderBy("distance", "id").collect()
+    assert [r.id for r in got] == [0, distinct, 2 * distinct, 3 * distinct]
+
+
 def test_refresh_adds_new_vectors_once(spark, table, vectors, tmp_path):
     path = str(tmp_path / "index")
     build_cells(table.where("id < 100"), path, "id", cells=5)
