@@ -121,18 +121,22 @@ def load_summary_of_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "page_results",
-    "SELECT l_orderkey AS page, l_partkey AS id, l_linenumber AS line, l_quantity AS quantity FROM lineitem",
+    """SELECT l_orderkey AS page, l_partkey AS id, l_linenumber AS line, l_quantity AS quantity FROM lineitem
+       UNION ALL SELECT l_orderkey, l_suppkey, NULL, l_extendedprice FROM lineitem""",
 )
 def page_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per order, holding its line items."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        F.struct(F.col("l_partkey").alias("id"), F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("quantity")).alias("r"),
-    )
-    envelope = F.struct(F.col("results"), F.lit(None).cast("string").alias("next"))
-    pages = lines.groupBy("l_orderkey").agg(F.collect_list("r").alias("results")).select(
-        F.col("l_orderkey").alias("page"), F.to_variant_object(envelope).alias("raw_data")
+    """One page per line item, holding a record of its part and one of its supplier."""
+
+    def record(key: str, line: Column, quantity: str) -> Column:
+        return F.struct(F.col(key).alias("id"), line.alias("line"), F.col(quantity).alias("quantity"))
+
+    records = F.array(
+        record("l_partkey", F.col("l_linenumber"), "l_quantity"),
+        record("l_suppkey", F.lit(None).cast("int"), "l_extendedprice"),
     )
+    envelope = F.struct(records.alias("results"), F.lit(None).cast("string").alias("next"))
+    lines = spread(table(spark, sf_dir, "lineitem"))
+    pages = lines.select(F.col("l_orderkey").alias("page"), F.to_variant_object(envelope).alias("raw_data"))
     fields = [Field("id", "$.id", "bigint"), Field("line", "$.line", "int"), Field("quantity", "$.quantity", "double")]
     return extract(results_of_pages(pages, keep=("page",)), fields, keep=["page"])
 

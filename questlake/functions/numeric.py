@@ -12,6 +12,12 @@ def rounded_avg(value: Column, digits: int, scale: int = 6) -> Column:
     return F.round(F.avg(value.cast(f"decimal(20,{scale})")), digits).cast("double")
 
 
+def rounded_ratio(total: Column, count: Column, digits: int) -> Column:
+    """The same from a decimal sum with six decimal places and a count, NULL for no values."""
+    exact = total.cast("decimal(28,6)") / F.nullif(count, F.lit(0).cast("bigint")).cast("decimal(20,0)")
+    return F.round(exact, digits).cast("double")
+
+
 def weighted_score(
     critic: Column,
     user: Column,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from questlake.functions.numeric import rounded_avg
+from questlake.functions.numeric import rounded_ratio
 
 
 def daily_counts(
@@ -23,15 +23,22 @@ def daily_counts(
     keys that have ``scored``. Rows without a day are left out.
 
     ``unique_key=True`` says that no key occurs twice in ``df``; plain counts then give the
-    same result and only one row per day and task is shuffled.
+    same result and only one row per day and task is shuffled. Otherwise rows are first
+    combined per (day, key), which serves both distinct counts with one shuffle of each row.
     """
     dated = df.where(F.col(day).isNotNull())
-    has_score = F.when(F.col(scored).isNotNull(), F.col(key))
-    count = F.count if unique_key else F.count_distinct
-    return dated.groupBy(day).agg(
-        count(F.col(key)).alias(counted),
-        rounded_avg(F.col(averaged), 2).alias(average),
-        count(has_score).alias(scored_count),
+    value, has_score = F.col(averaged).cast("decimal(20,6)"), F.col(scored).isNotNull()
+    if unique_key:
+        rows = dated.select(day, key, value.alias("_sum"), has_score.alias("_scored"))
+        rows = rows.withColumn("_n", F.when(F.col("_sum").isNotNull(), 1))
+    else:
+        rows = dated.groupBy(day, key).agg(
+            F.sum(value).alias("_sum"), F.count(averaged).alias("_n"), F.bool_or(has_score).alias("_scored")
+        )
+    return rows.groupBy(day).agg(
+        F.count(key).alias(counted),
+        rounded_ratio(F.sum("_sum"), F.coalesce(F.sum("_n"), F.lit(0)), 2).alias(average),
+        F.count(F.when(F.col("_scored"), F.col(key))).alias(scored_count),
     )
 
 

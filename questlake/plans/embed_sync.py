@@ -19,6 +19,7 @@ from questlake.sources import hdfs
 from questlake.sources.jsonl import load_stamp
 from questlake.sources.snapshots import merge_buckets
 
+# The columns that a sync updates, apart from vector and times.
 METADATA = ["name", "description_raw", "released_date", "rating", "metacritic_score"]
 
 
@@ -72,7 +73,7 @@ def sync_embeddings(
 def embed_query(spark: SparkSession, text: str, embed: Embedder) -> list[float]:
     """The vector of a search text."""
     if not text or not text.strip():
-        raise ValueError("Missing required parameter: q")
+        raise ValueError("the search text is blank")
     row = spark.range(1).select(embedding(F.lit(text.strip()), embed, "query").alias("v")).first()
     return list(row.v)
 

@@ -49,7 +49,7 @@ def report(read_mart: Callable[[str], DataFrame], name: str = "top_games") -> Da
     """The report ``name``; ``read_mart`` maps a mart's name to its table, from whichever copy
     of the marts is to be read. An unknown name raises with the names there are."""
     if name not in REPORTS:
-        raise ValueError(f"Unknown report '{name}', available reports: {', '.join(REPORTS)}")
+        raise ValueError(f"no report is named {name!r}; there are {', '.join(REPORTS)}")
     mart, query = REPORTS[name]
     return query(read_mart(mart))
 

@@ -31,6 +31,7 @@ GAMES = (
 
 
 def lookup_fields(key: str) -> tuple[Field, ...]:
+    """Fixed values as above, for the two lookups."""
     return (
         Field(key, "$.id", "bigint"),
         Field("name", "$.name", "string"),

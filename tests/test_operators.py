@@ -180,7 +180,17 @@ def test_unique_key_counts_equal_distinct_counts(spark):
     plain, unique = series.daily_counts(df, *args), series.daily_counts(df, *args, unique_key=True)
     assert dicts(plain, "day") == dicts(unique, "day")
     assert [(r["n"], r["avg"], r["scored"]) for r in dicts(plain, "day")] == [(2, 1.0, 1), (1, 2.0, 1)]
-    assert "Expand" not in unique._jdf.queryExecution().toString()
+    for df in (plain, unique):
+        assert "Expand" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_daily_counts_with_repeated_and_null_keys(spark):
+    rows = [(1, 1.0, None), (1, 1.01, 5), (1, None, 5), (2, None, None), (None, 4.0, 5)]
+    df = spark.createDataFrame(rows, "id int, rating double, critic int").withColumn("day", F.lit("2026-01-01").cast("date"))
+    (row,) = series.daily_counts(df, "day", "id", "n", "rating", "critic", "avg", "scored").collect()
+    assert (row.n, row.avg, row.scored) == (2, 2.0, 1)
+    empty = series.daily_counts(df.where("id = 2"), "day", "id", "n", "rating", "critic", "avg", "scored").first()
+    assert (empty.n, empty.avg, empty.scored) == (1, None, 0)
 
 
 def test_string_agg(spark):
