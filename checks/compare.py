@@ -70,7 +70,7 @@ def main() -> None:
             got = QUERIES[name](spark, sf_dir).toArrow()
             spent = time.time() - start
             if name in SQL:
-                found = differences(got, con.execute(SQL[name]).to_arrow_table())
+                found = differences(got, con.sql(SQL[name]).to_arrow_table())
             else:
                 found = [] if got.num_rows else ["no rows"]
         except Exception as error:  # noqa: BLE001

@@ -20,7 +20,7 @@ def test_query_equals_sql(spark, duck, name):
     if sql is None:
         assert got.num_rows
     else:
-        assert differences(got, duck.execute(sql).to_arrow_table()) == []
+        assert differences(got, duck.sql(sql).to_arrow_table()) == []
 
 
 def test_entry(spark):
