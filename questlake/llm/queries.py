@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from questlake.llm.decontaminate import contamination
 from questlake.llm.exact_dedup import exact_dedup
+from questlake.llm.mixing import mix
 from questlake.llm.registry import query, table
+from questlake.llm.sharding import read_shards, shuffle_to_files
+from questlake.session import new_dir
 
 _PLAIN_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
@@ -53,3 +56,26 @@ SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 )
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@query("op8_mixing")
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(table(spark, sf_dir, "documents"))
+    taken = F.col("size") * F.col("copies")
+    return mixed.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "rate", "copies")
+
+
+@query("op9_sharding")
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_dir(spark, "shards")
+    shuffle_to_files(table(spark, sf_dir, "documents"), path)
+    text = F.coalesce("text", F.lit(""))
+    return read_shards(spark, path, 8).select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
