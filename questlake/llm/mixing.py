@@ -4,19 +4,18 @@ Every document starts at rate 1. The rates closest to that in relative entropy,
 ``cap``, whose words add up to each source's target are tilted exponentially in the document's
 size: ``cap * s / (1 + s)`` with ``s = exp(lambda * size) / (cap - 1)``. The convex dual has one
 multiplier per source, which Newton steps find. Each step is one aggregation over the sizes that
-occur per source, not over documents. The rates are then rounded to whole copies along the sizes,
-so that rounding moves a source by about one document.
+occur per source, not over documents. The rates are then rounded to whole copies in slices of a
+source, large documents first, each making up for what the ones before are off.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from questlake.llm.common import lookup, word_count, written
 from questlake.operators.rank import global_rank
@@ -26,7 +25,6 @@ SHARE, CAP, SEED = 1.5, 2.0, 20
 #: Newton stops when every source is this close to its target, relatively, or after so many steps.
 CLOSE, STEPS = 1e-7, 60
 _STATE = ["source_size", "target", "mean_size", "lam"]
-_ONE = 1 << 24  # fractions of a copy are whole multiples of 1 / _ONE, so sums do not depend on order
 
 
 def _source_key(source: str) -> Column:
@@ -94,20 +92,32 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
     return state.drop("moving")
 
 
-def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the sum of ``part`` so far within the rows of one source of this partition."""
-    source, total = None, 0
-    for batch in batches:
-        parts = batch.column("part").to_numpy()
-        keys = batch.column("skey").to_numpy(zero_copy_only=False)
-        sums = np.cumsum(parts)
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else []
-        for start, end in zip(starts, [*starts[1:], len(keys)], strict=True):
-            carried = total if keys[start] == source else 0
-            sums[start:end] += carried - (sums[start] - parts[start])
-            source, total = keys[start], int(sums[end - 1])
-        columns = {n: batch.column(n) for n in batch.schema.names} | {"sum_here": pa.array(sums, pa.int64())}
-        yield pa.RecordBatch.from_pydict(columns)
+def _rounded(cap: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Rounds rates up or down, large documents first, so that the words taken from each run of a
+    source follow the words its rates ask for: what one document is off is made up by the next
+    ones, and what stays open at the end is about half of one of the smallest documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source, owed = None, 0.0
+        for batch in batches:
+            copies = []
+            columns = {n: batch.column(n) for n in batch.schema.names}
+            rows = zip(*(columns[n].to_pylist() for n in ("skey", "size", "rate", "chance")), strict=True)
+            for key, size, rate, chance in rows:
+                if key != source:
+                    source, owed = key, 0.0
+                low = math.floor(rate)
+                if size:
+                    owed += size * rate
+                    taken = low + (rate > low and owed - size * low > size / 2)
+                    owed -= size * taken
+                else:
+                    taken = low + (chance < rate - low)
+                copies.append(min(taken, math.floor(cap)))
+            columns["copies"] = pa.array(copies, pa.int32())
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return run
 
 
 def mix(
@@ -125,8 +135,8 @@ def mix(
     ``source_size``, ``target`` (its source's), ``rate`` and ``copies``.
 
     A NULL text has no words; a document without words has rate 1 and one copy, unless its source
-    is at a bound. The NULL source is the last source. Which documents of equal size get a copy
-    more is decided by a seeded hash of the id. An empty table gives an empty result.
+    is at a bound. The NULL source is the last source. A seeded hash of the id orders documents of
+    equal size. Copies are whole numbers from 0 to ``cap``. An empty table gives an empty result.
     """
     sizes = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -140,21 +150,9 @@ def mix(
     state = balance(sizes, source_targets(sizes, weights, share, cap), cap)
     n_all = state.agg(F.sum("n_docs")).first()[0] or 0
     rated = lookup(sizes, state, "skey", state.where(F.col("n_docs") * 1000 > n_all), _STATE).withColumn("rate", _rate(cap))
-    whole = F.floor("rate")
-    rated = rated.withColumn("part", F.floor((F.col("rate") - whole) * _ONE))
-    order = ["skey", "size", "lot", "row"]
-    schema = ", ".join(f"{n} {t}" for n, t in rated.drop("mean_size", "lam").dtypes) + ", sum_here long, slice long"
-    placed = rated.drop("mean_size", "lam").repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = placed.mapInArrow(_running, schema.removesuffix(", slice long"))
-    placed = written(placed.withColumn("slice", F.spark_partition_id()), "placed")
-
-    # Only the first source of a slice goes on from earlier slices: at most one row per slice.
-    sums = placed.groupBy("slice", "skey").agg(F.max("sum_here").alias("sum_slice"))
-    before = F.sum("sum_slice").over(Window.partitionBy("skey").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
-    carried = F.broadcast(sums.withColumn("carried", before).where("carried IS NOT NULL").select("slice", "skey", "carried"))
-    end = F.col("sum_here") + F.coalesce("carried", F.lit(0)) + F.pmod(F.xxhash64(F.lit(seed), "skey"), F.lit(_ONE))
-    extra = F.floor(end / _ONE) - F.floor((end - F.col("part")) / _ONE)
-    copies = (F.floor("rate") + extra).cast("int")
-    return placed.join(carried, ["slice", "skey"], "left").select(
-        "doc_id", "source", "row", "size", "source_size", "target", "rate", copies.alias("copies")
-    )
+    chance = F.pmod(F.col("lot"), F.lit(1 << 20)) / (1 << 20)
+    rated = rated.drop("mean_size", "lam").withColumn("chance", chance)
+    order = [F.col("skey"), F.col("size").desc(), F.col("lot"), F.col("row")]
+    schema = ", ".join(f"{n} {t}" for n, t in rated.dtypes) + ", copies int"
+    placed = rated.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_rounded(cap), schema)
+    return placed.select("doc_id", "source", "row", "size", "source_size", "target", "rate", "copies")
