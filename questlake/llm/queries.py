@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from questlake.llm.decontaminate import contamination
 from questlake.llm.exact_dedup import exact_dedup
 from questlake.llm.mixing import mix
+from questlake.llm.quality import fit_quality, held_out, score_quality
 from questlake.llm.registry import query, table
 from questlake.llm.sharding import read_shards, shuffle_to_files
 from questlake.session import new_dir
@@ -79,3 +80,11 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score_quality(docs.select("doc_id", "text"), fit_quality(docs, table(spark, sf_dir, "labels")))
+    score = F.col("quality_score")
+    return scored.select("doc_id", held_out("doc_id").alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
