@@ -22,7 +22,7 @@ from questlake.llm.common import texts_of
 #: The bounded sample that the model is fitted on: so many labelled rows of either class for the
 #: dictionaries, so many others for the calibration, none of more than so many bytes.
 DICTIONARY_ROWS, CALIBRATION_ROWS, SAMPLE_BYTES = 1500, 6000, 64 << 10
-DICTIONARY_BYTES, BLOCK_BYTES, LEVEL = 112 << 10, 500, 3
+DICTIONARY_BYTES, BLOCK_BYTES, LEVEL = 112 << 10, 250, 3
 _LEAST_BLOCK = 64  # shorter pieces teach a dictionary nothing
 
 
@@ -85,7 +85,11 @@ def _features(good: bytes, bad: bytes) -> Callable[[Iterator[pa.RecordBatch]], I
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 100) -> np.ndarray:
-    """Weights of a logistic regression, by Newton steps that are halved until the loss falls."""
+    """Weights of a logistic regression whose last column of ``x`` is constant, by Newton steps that
+    are halved until the loss falls. The ridge holds for columns of unit variance."""
+    mean, scale = x.mean(0), x.std(0) + 1e-12
+    mean[-1], scale[-1] = 0, 1
+    x = (x - mean) / scale
 
     def loss(w: np.ndarray) -> float:
         z = x @ w
@@ -104,6 +108,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, steps: int = 100
         w = w - size * step
         if np.abs(size * step).max() < 1e-9:
             break
+    w = w / scale
+    w[-1] -= w[:-1] @ mean[:-1]
     return w
 
 
@@ -125,11 +131,11 @@ def fit_quality(
     usable = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull() & ~held_out(doc_id))
     usable = usable.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("quality")).distinct()
     order = [F.xxhash64("id"), F.col("id"), F.col("quality")]
-    # The dictionaries learn from ids with an odd second hash, the calibration from the others.
-    odd = F.pmod(F.xxhash64(F.lit("fit"), "id"), F.lit(2)) == 1
-    parts = [usable.where(odd & (F.col("quality") == q)).orderBy(*order).limit(for_dictionary) for q in (1, 0)]
+    # A second hash of the id gives three in four rows to the dictionaries, the others to the calibration.
+    learned = F.pmod(F.xxhash64(F.lit("fit"), "id"), F.lit(4)) != 1
+    parts = [usable.where(learned & (F.col("quality") == q)).orderBy(*order).limit(for_dictionary) for q in (1, 0)]
     sample = parts[0].union(parts[1]).withColumn("part", F.lit("dictionary"))
-    sample = sample.union(usable.where(~odd).orderBy(*order).limit(for_calibration).withColumn("part", F.lit("calibration")))
+    sample = sample.union(usable.where(~learned).orderBy(*order).limit(for_calibration).withColumn("part", F.lit("calibration")))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     short = texts.where(F.octet_length("text").between(1, SAMPLE_BYTES))
     found = short.join(F.broadcast(sample), "id")
