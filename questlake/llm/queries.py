@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from questlake.llm.decontaminate import contamination
 from questlake.llm.exact_dedup import exact_dedup
+from questlake.llm.jaccard_join import near_duplicates
 from questlake.llm.mixing import mix
 from questlake.llm.quality import fit_quality, held_out, score_quality
 from questlake.llm.registry import query, table
@@ -88,3 +89,20 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_quality(docs.select("doc_id", "text"), fit_quality(docs, table(spark, sf_dir, "labels")))
     score = F.col("quality_score")
     return scored.select("doc_id", held_out("doc_id").alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
+@query(
+    "op7_jaccard_join",
+    r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, array_to_string(w[p : p + 2], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS p FROM d)),
+  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+  common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b USING (g) GROUP BY 1, 2),
+  links AS (SELECT x, y FROM common JOIN n a ON x = a.doc_id JOIN n b ON y = b.doc_id WHERE 100 * c >= 90 * (a.n + b.n - c)),
+  reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(c, doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS c FROM reach GROUP BY 1) USING (doc_id)""",
+)
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
