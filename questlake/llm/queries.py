@@ -12,6 +12,7 @@ from questlake.llm.mixing import mix
 from questlake.llm.quality import fit_quality, held_out, score_quality
 from questlake.llm.registry import query, table
 from questlake.llm.sharding import read_shards, shuffle_to_files
+from questlake.llm.substring_dedup import remove_repeats
 from questlake.session import new_dir
 
 _PLAIN_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -106,3 +107,20 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT x AS doc_id, min(y) AS c FRO
 )
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query(
+    "op4_substring_dedup",
+    r"""WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  windows AS (SELECT doc_id, p, array_to_string(w[p : p + 12], ' ') AS g
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13)),
+  lost AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS q
+           FROM (SELECT doc_id, p, doc_id > min(doc_id) OVER (PARTITION BY g) AS later FROM windows) WHERE later),
+  words AS (SELECT doc_id, q, w[q] AS word FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS q FROM d)),
+  kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY q) AS t, count(*) AS n FROM words ANTI JOIN lost USING (doc_id, q) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)""",
+)
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
