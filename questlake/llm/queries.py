@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from questlake.llm.decontaminate import contamination
 from questlake.llm.exact_dedup import exact_dedup
 from questlake.llm.jaccard_join import near_duplicates
 from questlake.llm.mixing import mix
+from questlake.llm.pii import KINDS, find_personal_data
 from questlake.llm.quality import fit_quality, held_out, score_quality
 from questlake.llm.registry import query, table
 from questlake.llm.sharding import read_shards, shuffle_to_files
@@ -124,3 +125,18 @@ FROM d LEFT JOIN kept USING (doc_id)""",
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@query("op10_pii")
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in KINDS])
+
+    def told(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+    base = F.filter("spans", lambda s: s["kind"] < 4)
+    return found.select("doc_id", *[number(k) for k in range(4)], F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
