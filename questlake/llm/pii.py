@@ -37,7 +37,7 @@ _TOKEN = rf"(?<!{_RUN})[^{_SEPARATORS}0-9]*+[0-9][^{_SEPARATORS}0-9]*+[0-9]{_RUN
 #: Letters that a pattern's word is looked for in, and lengths of what can be an identifier.
 _CONTEXT, _SHORTEST, _LONGEST = 80, 6, 128
 #: Rounds of scoring; seeds that a pattern needs; how far a pattern and a shape must be trusted.
-ROUNDS, SUPPORT, TRUSTED = 4, 5, 0.6
+ROUNDS, SUPPORT, TRUSTED = 4, 5, 0.5
 
 
 def _luhn(digits: Column) -> Column:
@@ -111,7 +111,7 @@ def _scores(edges: DataFrame, rounds: int, support: int) -> tuple[DataFrame, Dat
     for _ in range(rounds):
         told = met("pattern", of_patterns).where("trust IS NOT NULL").groupBy("shape")
         average = F.sum(F.col("others") * F.col("trust")) / (F.sum("others") + 4)
-        of_shapes = written(told.agg(average.alias("trust")), "trust")
+        of_shapes = written(told.agg(average.alias("trust")).where("shape NOT LIKE '!%'"), "trust")
         gained = met("shape", of_shapes).groupBy("pattern").agg(F.sum(F.col("others") * F.coalesce("trust", F.lit(0.0))).alias("gained"))
         share = (F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / (F.col("seeds") + F.col("others") + 2)
         of_patterns = written(patterns.join(gained, "pattern", "left").select("pattern", share.alias("trust")), "trust")
@@ -125,7 +125,7 @@ def find_personal_data(
     ``(kind, start, end)`` by kind and start; kinds are places in ``KINDS``, positions are characters.
 
     Kinds 0 to 3 are the fixed forms, found without the rest; kind 4 are identifiers found by their
-    context, none of which overlaps one of the others. NULL and empty texts have none. Rows that
+    context, none of which overlaps one of the others or is a number that failed as one of them. NULL and empty texts have none. Rows that
     repeat an id, or have none, are rows of their own. Words of a context longer than 80 characters
     count by their nearest 80, and tokens of over 128 characters are no identifiers by context.
     """
@@ -137,17 +137,24 @@ def find_personal_data(
     end = F.sum(F.col("gap") + F.length("hit")).over(Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
     each = written(each.withColumn("end", end).withColumn("start", F.col("end") - F.length("hit")), "places")
     span = F.struct("kind", "start", "end").alias("span")
-    base = written(each.where((F.col("kind") < 4) & _valid(F.col("kind"), F.col("hit"))).groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("base")), "base")
+    forms = each.where("kind < 4").withColumn("valid", _valid(F.col("kind"), F.col("hit")))
+    forms = forms.where(F.col("valid") | (F.length("hit") >= _SHORTEST)).groupBy("row")
+    picked = {"base": F.col("valid"), "failed": ~F.col("valid")}
+    base = written(forms.agg(*[F.array_sort(F.collect_list(F.when(which, span))).alias(name) for name, which in picked.items()]), "base")
 
     lead = F.length("hit") - F.length(F.regexp_replace("hit", r"^[^0-9A-Za-z]+", ""))
     core = F.regexp_replace(F.regexp_replace("hit", r"^[^0-9A-Za-z]+", ""), r"(?<![^0-9A-Za-z])[^0-9A-Za-z]++$", "")
     tokens = each.where((F.col("kind") == 4) & (F.length("hit") <= _LONGEST)).withColumns({"core": core, "start": F.col("start") + lead})
     tokens = tokens.withColumn("end", F.col("start") + F.length("core")).where(F.length("core") >= _SHORTEST)
-    overlaps = F.exists(F.coalesce("base", F.expr("cast(array() AS array<struct<kind:int,start:bigint,end:bigint>>)")), lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    none = F.expr("cast(array() AS array<struct<kind:int,start:bigint,end:bigint>>)")
+    overlaps = F.exists(F.coalesce("base", none), lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
+    # A number that has a fixed form but fails its check speaks against its pattern, and is never trusted.
+    fails = F.exists(F.coalesce("failed", none), lambda s: (s["start"] <= F.col("start")) & (s["end"] >= F.col("end")))
+    shape = F.concat(F.when(fails, F.lit("!")).otherwise(F.lit("")), _shape(F.col("core")))
     patterns = F.filter(
         F.array(F.when(F.col("before") != "", F.concat(F.lit("<"), "before")), F.when(F.col("after") != "", F.concat(F.lit(">"), "after"))), lambda p: p.isNotNull()
     )
-    tokens = tokens.join(base, "row", "left").select("row", "start", "end", _shape(F.col("core")).alias("shape"), overlaps.alias("seed"), patterns.alias("patterns"))
+    tokens = tokens.join(base, "row", "left").select("row", "start", "end", shape.alias("shape"), overlaps.alias("seed"), patterns.alias("patterns"))
     tokens = written(tokens, "tokens")
 
     edges = tokens.select(F.explode("patterns").alias("pattern"), "shape", "seed").groupBy("pattern", "shape")
@@ -166,6 +173,5 @@ def find_personal_data(
     more = more.where("of_pattern IS NOT NULL").select("row", F.struct(F.lit(4).alias("kind"), "start", "end").alias("span"))
     more = more.groupBy("row").agg(F.array_sort(F.collect_set("span")).alias("more"))
 
-    none = F.expr("cast(array() AS array<struct<kind:int,start:bigint,end:bigint>>)")
     spans = F.concat(F.coalesce("base", none), F.coalesce("more", none))
-    return scanned.select("doc_id", "row").join(base, "row", "left").join(more, "row", "left").select("doc_id", "row", spans.alias("spans"))
+    return scanned.select("doc_id", "row").join(base.select("row", "base"), "row", "left").join(more, "row", "left").select("doc_id", "row", spans.alias("spans"))
