@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from questlake.llm.common import LOWER, UPPER
 from questlake.llm.decontaminate import contamination
 from questlake.llm.exact_dedup import exact_dedup
 from questlake.llm.jaccard_join import near_duplicates
+from questlake.llm.license_scan import TEMPLATES, TERM, THRESHOLD, TRIGGER, scan_licenses
 from questlake.llm.mixing import mix
 from questlake.llm.pii import KINDS, find_personal_data
 from questlake.llm.quality import fit_quality, held_out, score_quality
 from questlake.llm.registry import query, table
 from questlake.llm.sharding import read_shards, shuffle_to_files
 from questlake.llm.substring_dedup import remove_repeats
+from questlake.llm.url_filter import judge_captures, url_keys
 from questlake.session import new_dir
 
 _PLAIN_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -140,3 +143,92 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = F.filter("spans", lambda s: s["kind"] < 4)
     return found.select("doc_id", *[number(k) for k in range(4)], F.sha2(told(base), 256).alias("base_sha256"), told(F.col("spans")).alias("spans"))
+
+
+_CAPTURES_SQL = r"""c AS (SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 7919 % 730 AS INTEGER) AS day_,
+    lower(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)', 1), ':[0-9]*$', '')) AS host,
+    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*/?([^?#]*)', 1), '/'), lambda p: p <> '') AS parts FROM pages),
+  k AS (SELECT page_id, day_, list_distinct(list_concat(
+      list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(string_split(host, '.')[i:], '.')),
+      list_transform(range(1, len(parts) + 1), lambda i: host || '/' || array_to_string(parts[:i], '/')))) AS keys FROM c WHERE host <> ''),
+  e AS (SELECT page_id, day_, unnest(keys) AS key FROM k),
+  s AS (SELECT key, min(page_id) * 31 % 730 AS first, count(*) AS n FROM e GROUP BY 1)"""
+
+
+@query(
+    "op3_url_filter",
+    f"""WITH {_CAPTURES_SQL},
+  days AS (SELECT CASE WHEN contains(key, '/') THEN 'paths' ELSE 'domains' END AS list, key,
+             DATE '2024-01-01' + CAST(first AS INTEGER) AS a, DATE '2024-01-01' + CAST(first + n % 90 + 1 AS INTEGER) AS b,
+             DATE '2024-01-01' + CAST(first + 200 AS INTEGER) AS d FROM s),
+  spans AS (SELECT list, key, a AS since, b AS until FROM days UNION ALL SELECT list, key, d, NULL FROM days),
+  met AS (SELECT page_id, count(*) AS n_entries, string_agg(DISTINCT list, ',' ORDER BY list) AS lists
+          FROM e JOIN spans USING (key) WHERE since <= day_ AND (until IS NULL OR until > day_) GROUP BY 1)
+SELECT page_id, coalesce(n_entries, 0) AS n_entries, coalesce(lists, '') AS lists, coalesce(n_entries, 0) > 0 AS blocked
+FROM pages LEFT JOIN met USING (page_id)""",
+)
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each key of the pages' URLs is listed on a day, taken off up to 90 days later and listed for good
+    after 200; fetch days and list days follow from ids and counts, as the tables hold no dates of captures."""
+    day = lambda n: F.date_add(F.lit("2024-01-01").cast("date"), n.cast("int"))
+    captures = table(spark, sf_dir, "pages").select("page_id", "url", day(F.col("page_id") * 7919 % 730).alias("fetched"))
+    keys = captures.select("page_id", F.explode(url_keys(F.col("url"))).alias("key")).groupBy("key")
+    keys = keys.agg((F.min("page_id") * 31 % 730).alias("first"), F.count(F.lit(1)).alias("n"))
+    history = [(F.col("first"), True), (F.col("first") + F.col("n") % 90 + 1, False), (F.col("first") + 200, True)]
+    list_name = F.when(F.contains("key", F.lit("/")), "paths").otherwise("domains")
+    entries = keys.select("key", list_name.alias("list"), F.inline(F.array(*[F.struct(day(d).alias("since"), F.lit(on).alias("listed")) for d, on in history])))
+    judged = judge_captures(captures, entries)
+    return judged.select(F.col("capture_id").alias("page_id"), "n_entries", F.array_join("lists", ",").alias("lists"), "blocked")
+
+
+_TEMPLATES_SQL = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES)
+_TERMS_SQL = rf"regexp_extract_all(translate({{}}, '{UPPER}', '{LOWER}'), '{TERM}')"
+
+
+@query(
+    "op5_license_scan",
+    rf"""WITH RECURSIVE t(license, template) AS (VALUES {_TEMPLATES_SQL}),
+  f AS (SELECT doc_id, source || '/' || CASE WHEN doc_id % 1000 = 0 THEN 'LICENSE-' || doc_id
+          WHEN doc_id % 100 = 0 THEN (doc_id // 1000) || '/LICENSE-' || doc_id
+          WHEN doc_id % 10 = 0 THEN (doc_id // 1000) || '/' || (doc_id // 100 % 10) || '/LICENSE-' || doc_id
+          ELSE (doc_id // 1000) || '/' || (doc_id // 100 % 10) || '/' || doc_id || '.txt' END AS path, text FROM documents),
+  h AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(list_distinct(string_split(coalesce(text, ''), chr(10)))) AS line FROM f)
+        WHERE regexp_matches(line, '{TRIGGER}')),
+  l AS (SELECT line, count(*) AS times FROM h GROUP BY 1),
+  w AS (SELECT line, times, term, count(*) AS c FROM (SELECT line, times, unnest({_TERMS_SQL.format("line")}) AS term FROM l) GROUP BY ALL),
+  df AS (SELECT term, sum(times) AS df FROM w GROUP BY 1),
+  total AS (SELECT sum(times) AS n FROM l),
+  tw AS (SELECT license, term, c * (ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0) AS x FROM (SELECT license, term, count(*) AS c
+         FROM (SELECT license, unnest({_TERMS_SQL.format("template")}) AS term FROM t) GROUP BY ALL) LEFT JOIN df USING (term), total),
+  tn AS (SELECT license, sqrt(sum(x * x)) AS norm FROM tw GROUP BY 1),
+  lw AS (SELECT line, term, c * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS x FROM w JOIN df USING (term), total),
+  ln_ AS (SELECT line, sqrt(sum(x * x)) AS norm FROM lw GROUP BY 1),
+  cos AS (SELECT line, license, sum(lw.x * tw.x / tn.norm) / any_value(ln_.norm) AS score
+          FROM lw JOIN tw USING (term) JOIN tn USING (license) JOIN ln_ USING (line) GROUP BY ALL),
+  m AS (SELECT line, license, score FROM cos WHERE score >= {THRESHOLD}
+        QUALIFY row_number() OVER (PARTITION BY line ORDER BY round(score, 9) DESC, license) = 1),
+  own AS (SELECT doc_id, license, score FROM h JOIN m USING (line)
+          QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(score, 9) DESC, license) = 1),
+  dirs AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, license FROM own JOIN f USING (doc_id) WHERE contains(path, '/LICENSE-')
+           QUALIFY row_number() OVER (PARTITION BY dir ORDER BY round(score, 9) DESC, license) = 1),
+  near AS (SELECT doc_id, dir, dirs.license FROM f JOIN dirs ON starts_with(path, dir || '/')
+           QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY len(dir) DESC) = 1)
+SELECT f.doc_id, own.license AS own_license, round(own.score, 6) AS score, coalesce(own.license, near.license) AS license,
+  CASE WHEN own.license IS NULL THEN near.dir END AS inherited_from
+FROM f LEFT JOIN own USING (doc_id) LEFT JOIN near USING (doc_id)""",
+)
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a source is a tree with a directory per thousand and hundred ids, in which
+    every tenth id is a license file, every hundredth that of the directory above, and so on."""
+    name, thousand, hundred = F.col("doc_id").cast("string"), F.floor(F.col("doc_id") / 1000), F.floor(F.col("doc_id") / 100) % 10
+    license_name = F.concat(F.lit("LICENSE-"), name)
+    below = (
+        F.when(F.col("doc_id") % 1000 == 0, license_name)
+        .when(F.col("doc_id") % 100 == 0, F.concat_ws("/", thousand, license_name))
+        .when(F.col("doc_id") % 10 == 0, F.concat_ws("/", thousand, hundred, license_name))
+        .otherwise(F.concat_ws("/", thousand, hundred, F.concat(name, F.lit(".txt"))))
+    )
+    files = table(spark, sf_dir, "documents").select("doc_id", "text", F.concat("source", F.lit("/"), below).alias("path"))
+    templates = spark.createDataFrame(TEMPLATES, "license string, template string")
+    scanned = scan_licenses(files, templates)
+    return scanned.select(F.col("file_id").alias("doc_id"), F.col("own").alias("own_license"), F.round("score", 6).alias("score"), "license", "inherited_from")
