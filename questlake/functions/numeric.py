@@ -6,16 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def rounded_avg(value: Column, digits: int, scale: int = 6) -> Column:
+#: Decimal places that averages keep of each value, unless the caller asks for others.
+SCALE = 12
+
+
+def exact(value: Column, scale: int = SCALE) -> Column:
+    """The value as a decimal with ``scale`` places; NULL if it is NaN, infinite or too large for one."""
+    return value.cast("double").try_cast(f"decimal(38,{scale})")
+
+
+def rounded_avg(value: Column, digits: int, scale: int = SCALE) -> Column:
     """``ROUND(AVG(value), digits)`` summed as decimals, so that the result does not depend
-    on the order in which partitions are added up. Values keep ``scale`` decimal places."""
-    return F.round(F.avg(value.cast(f"decimal(20,{scale})")), digits).cast("double")
+    on the order in which partitions are added up. Values keep ``scale`` decimal places; if one
+    does not fit into that (NaN, an infinity, 10 to the ``38 - scale``), doubles are averaged."""
+    fits = exact(value, scale)
+    plain = F.bool_or(value.isNotNull() & fits.isNull())
+    return F.when(plain, F.round(F.avg(value.cast("double")), digits)).otherwise(F.round(F.avg(fits), digits).cast("double"))
 
 
 def rounded_ratio(total: Column, count: Column, digits: int) -> Column:
-    """The same from a decimal sum with six decimal places and a count, NULL for no values."""
-    exact = total.cast("decimal(28,6)") / F.nullif(count, F.lit(0).cast("bigint")).cast("decimal(20,0)")
-    return F.round(exact, digits).cast("double")
+    """The same from a decimal sum and a count, NULL for no values."""
+    return F.round(total / F.nullif(count, F.lit(0).cast("bigint")).cast("decimal(20,0)"), digits).cast("double")
 
 
 def weighted_score(

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from questlake.functions.bound import bound
 
-# Whole numbers are read as decimals first so that 12.5 rounds to 13 rather than being cut.
-_NUMBER = "decimal(38,6)"
+# Whole numbers are read as decimals first so that 12.5 rounds to 13 rather than being cut. With
+# eighteen places every double that can round to a bigint keeps the digits that decide.
+_NUMBER = "decimal(38,18)"
 
 
 class Field(NamedTuple):

@@ -8,16 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from questlake.functions.bound import bound
-from questlake.functions.numeric import rounded_avg
+from questlake.functions.numeric import SCALE, rounded_avg
 
 
-def catalog_stats(df: DataFrame, counted: dict[str, str], averaged: dict[str, tuple[str, int]], total: str) -> DataFrame:
+def catalog_stats(
+    df: DataFrame, counted: dict[str, str], averaged: dict[str, tuple[str, int]], total: str, scale: int = SCALE
+) -> DataFrame:
     """One row: the row count, non-null counts (output name to column) and rounded averages
-    (output name to column and digits)."""
+    (output name to column and digits; values keep ``scale`` decimal places)."""
     return df.agg(
         F.count("*").alias(total),
         *[F.count(c).alias(name) for name, c in counted.items()],
-        *[rounded_avg(F.col(c), digits).alias(name) for name, (c, digits) in averaged.items()],
+        *[rounded_avg(F.col(c), digits, scale).alias(name) for name, (c, digits) in averaged.items()],
     )
 
 
@@ -53,6 +55,7 @@ def name_trends(
     name: str = "genre_name",
     min_year: int = 2000,
     unique_key: bool = False,
+    scale: int = SCALE,
 ) -> DataFrame:
     """Per (name, release year): distinct keys, average rating and critic score, best and
     worst rating. Averages are over unnested rows, so a name listed twice weighs twice.
@@ -69,8 +72,8 @@ def name_trends(
         count = F.count_distinct(F.col(key))
     return rows.groupBy(name, "release_year").agg(
         count.alias("game_count"),
-        rounded_avg(F.col(rating), 2).alias("avg_user_rating"),
-        rounded_avg(F.col(critic), 1).alias("avg_metacritic"),
+        rounded_avg(F.col(rating), 2, scale).alias("avg_user_rating"),
+        rounded_avg(F.col(critic), 1, scale).alias("avg_metacritic"),
         F.round(F.max(rating), 2).alias("best_rating"),
         F.round(F.min(rating), 2).alias("worst_rating"),
     )
@@ -84,5 +87,5 @@ def string_agg_distinct(
     Values are made distinct before the shuffle and again after it, so a hot key moves its
     distinct values only.
     """
-    text = F.expr(f"listagg(DISTINCT `{value}`, '{separator}') WITHIN GROUP (ORDER BY `{value}`)")
-    return df.groupBy(*keys).agg(F.coalesce(text, F.lit("")).alias(output))
+    text = F.array_join(F.array_sort(F.collect_set(F.col(value).cast("string"))), separator)
+    return df.groupBy(*keys).agg(text.alias(output))

@@ -28,6 +28,7 @@ from questlake.sources.snapshots import publish, read_published
 CENTRE_BYTES = 256 << 20
 ROWS_PER_CELL = 256
 _SLACK = 1e-9
+_ROUNDING = 1e-10  # of distances, which are rounded to ten digits
 
 
 def _unit(vector: str) -> Column:
@@ -71,7 +72,7 @@ def _write_cell_table(spark: SparkSession, path: str, centres: np.ndarray) -> No
     written = spark.read.parquet(f"{path}/vectors")
     stats = written.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("radius"))
     rows = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "cell int, centre array<double>")
-    publish(stats.join(rows, "cell", "full").coalesce(1), path, "cells", ["cell", "n", "radius", "centre"])
+    publish(stats.join(rows, "cell", "full"), path, "cells", ["cell", "n", "radius", "centre"])
 
 
 def _write_vectors(placed: DataFrame, path: str, mode: str) -> None:
@@ -160,7 +161,7 @@ def search_cells(
     hits = scan(first).collect()
     # Cosine distance d of unit vectors is a Euclidean distance of sqrt(2 d).
     far = [r.distance for r in hits if not np.isnan(r.distance)]
-    reach = np.sqrt(2 * max(far)) + _SLACK if len(far) == k else np.inf
+    reach = np.sqrt(2 * (max(far) + _ROUNDING)) + _SLACK if len(far) == k else np.inf
     rest = [r.cell for r in cells if r.centre is None and reach == np.inf]
     rest += [r.cell for r in cells if r.centre is not None and r.cell not in first and away[r.cell] - r.radius <= reach]
     schema = scan(first).schema

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from questlake.functions.numeric import rounded_ratio
+from questlake.functions.numeric import SCALE, exact, rounded_ratio
 
 
 def daily_counts(
@@ -18,6 +18,8 @@ def daily_counts(
     average: str,
     scored_count: str,
     unique_key: bool = False,
+    digits: int = 2,
+    scale: int = SCALE,
 ) -> DataFrame:
     """Per day: distinct keys (as ``counted``), rounded average of ``averaged`` and distinct
     keys that have ``scored``. Rows without a day are left out.
@@ -25,19 +27,23 @@ def daily_counts(
     ``unique_key=True`` says that no key occurs twice in ``df``; plain counts then give the
     same result and only one row per day and task is shuffled. Otherwise rows are first
     combined per (day, key), which serves both distinct counts with one shuffle of each row.
+    Averages are rounded to ``digits`` and treat NaN and very large values as ``rounded_avg`` does.
     """
     dated = df.where(F.col(day).isNotNull())
-    value, has_score = F.col(averaged).cast("decimal(20,6)"), F.col(scored).isNotNull()
+    value, has_score = exact(F.col(averaged), scale), F.col(scored).isNotNull()
+    unfit = F.when(value.isNull(), F.col(averaged).cast("double"))
     if unique_key:
-        rows = dated.select(day, key, value.alias("_sum"), has_score.alias("_scored"))
-        rows = rows.withColumn("_n", F.when(F.col("_sum").isNotNull(), 1))
+        rows = dated.select(day, key, value.alias("_sum"), unfit.alias("_unfit"), F.col(averaged).alias("_value"), has_score.alias("_scored"))
+        rows = rows.withColumn("_n", F.when(F.col("_value").isNotNull(), 1))
     else:
         rows = dated.groupBy(day, key).agg(
-            F.sum(value).alias("_sum"), F.count(averaged).alias("_n"), F.bool_or(has_score).alias("_scored")
+            F.sum(value).alias("_sum"), F.sum(unfit).alias("_unfit"), F.count(averaged).alias("_n"), F.bool_or(has_score).alias("_scored")
         )
+    count = F.coalesce(F.sum("_n"), F.lit(0))
+    total = F.coalesce(F.sum("_sum").cast("double"), F.lit(0.0)) + F.sum("_unfit")
     return rows.groupBy(day).agg(
         F.count(key).alias(counted),
-        rounded_ratio(F.sum("_sum"), F.coalesce(F.sum("_n"), F.lit(0)), 2).alias(average),
+        F.when(F.sum("_unfit").isNotNull(), F.round(total / count, digits)).otherwise(rounded_ratio(F.sum("_sum"), count, digits)).alias(average),
         F.count(F.when(F.col("_scored"), F.col(key))).alias(scored_count),
     )
 
