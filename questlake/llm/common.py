@@ -55,6 +55,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer one that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def record_hash(df: DataFrame) -> Column:
+    """A hash of all columns of a row: with an id it tells rows apart that repeat the id."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def word_count(text: Column) -> Column:
     """Number of maximal runs without spaces; NULL has none. Each run of spaces between words
     becomes one space first, so counting spaces counts words."""

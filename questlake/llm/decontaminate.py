@@ -224,10 +224,12 @@ def contamination(
     coverage: int = COVERAGE,
     block_words: int = BLOCK_WORDS,
     clean: bool = False,
+    records: bool = False,
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_words``, ``spans`` (word positions hit, [start, end)
     pairs), ``items`` (ids found, as sorted strings), ``n_hit`` and ``contaminated``; with ``clean``
-    also ``clean_text``, the text without the hit spans.
+    also ``clean_text``, the text without the hit spans, with ``records`` also ``record``, a struct of
+    all columns of ``docs``.
 
     NULL and empty texts have no words and no hits. Repeated rows each get their own row, NULL ids
     included. An empty benchmark hits nothing; items without words are ignored, items that share
@@ -241,6 +243,7 @@ def contamination(
         F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() AS array<array<bigint>>)").alias("spans"),
         F.expr("cast(array() AS array<string>)").alias("items"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("record")] if records else []),
     )
     blocks = item_blocks(benchmark, item_id, item_text, window, block_words)
     for done, items in enumerate(_with_empty(blocks)):

@@ -4,8 +4,8 @@ Candidates share a signature. Shingles are ordered by class, rare before frequen
 Two sets that are similar enough cannot differ in more than a tenth of the smaller one, so each
 set signs with a prefix of its order. A rare shingle of the prefix is a signature alone. Frequent
 shingles sign in pairs from one of several groups of them: the prefix is extended until, whatever
-tenth of it is missing in the other set, a rare one or a pair is left. Candidates are verified on
-whole sets. Equal sets are one class from the start, and each class enters with one set.
+tenth of it is missing in the other set, a rare one or a pair is left. Candidates that short
+fingerprints cannot rule out are verified on whole sets. Equal sets are one class from the start, and each class enters with one set.
 
 Of the documents that share a signature each is first compared with one centre. Documents found
 in different components then are compared with each other, all others are connected already; so a
@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from questlake.llm.common import lookup, shuffle_partitions, texts_of, written
+from questlake.llm.common import lookup, shuffle_partitions, written
 from questlake.llm.components import components
-from questlake.llm.shingles import WordHashes, long_lists, longs, mixed, set_key, shingle_set
+from questlake.llm.shingles import long_lists, longs, members, mixed, set_key, shingle_sets, words_of
 
 #: Fixed by the contract: words per shingle, and shared shingles in a hundred of both sets.
 SIZE, PERCENT = 3, 90
 #: Shingles counted at a time; one in a million of them, and four at least, may be frequent.
-_CHUNK, _MOST_FREQUENT, _LEAST_FREQUENT = 4_000_000, 1 << 20, 32
+_CHUNK, _MOST_FREQUENT, _LEAST_FREQUENT = 4_000_000, 1 << 20, 8
 #: Sets of up to so many bits of size sign with single shingles only: their prefixes are too short for pairs.
 _SINGLES = 6
 #: Frequent shingles of a prefix that a group of them holds, on average, are about four.
@@ -38,9 +38,10 @@ _BITS = 26
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    hashes = WordHashes()
     for batch in batches:
-        yield batch, [shingle_set(hashes.of((t or b"").lower().split()), size) for t in texts_of(batch.column("text"))]
+        for words in words_of(batch.column("text"), lower=True):
+            sets = list(shingle_sets(words, size))
+            yield batch.slice(words.row, len(sets)), sets
 
 
 def _frequent_of(chunk: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +64,7 @@ def _scan(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordB
         held, schema = 0, None
         for batch, sets in _sets(batches, size):
             keys = [set_key(s) for s in sets]
-            columns = {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "key": pa.array(keys, pa.binary())}
+            columns = {n: batch.column(n) for n in ("doc_id", "row", "tag")} | {"key": pa.array(keys, pa.binary())}
             columns |= {"n": pa.array([len(s) for s in sets], pa.int64())}
             columns |= {n: pa.nulls(len(sets), pa.int64()) for n in ("token", "times")}
             out = pa.RecordBatch.from_pydict(columns)
@@ -102,7 +103,7 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT)
     """
     n = len(tokens)
     need = n - -(-n * percent // 100) + 1
-    common = np.isin(tokens, frequent)
+    common = members(tokens, frequent)
     rare, often = tokens[~common], tokens[common]
     found, before = [], []
     for bits in sorted({n.bit_length(), (n * 100 // percent).bit_length()}):
@@ -127,18 +128,25 @@ def _sign(size: int, percent: int, frequent) -> Callable[[Iterator[pa.RecordBatc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[bytes] = set()
         for _, sets in _sets(batches, size):
+            keys, sizes, signed, before = [], [], [], []
             for found in sets:
                 key = set_key(found)
                 if not len(found) or key in done:
                     continue
                 done.add(key)
-                signed, before = signatures(found, frequent.value, percent)
+                signs, places = signatures(found, frequent.value, percent)
+                keys.append(key)
+                sizes.append(len(found))
+                signed.append(signs)
+                before.append(places)
+            if keys:
+                each = np.repeat(np.arange(len(keys), dtype=np.int32), [len(x) for x in signed])
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "sign": longs(signed),
-                        "key": pa.array([key], pa.binary()).take(pa.array(np.zeros(len(signed), np.int32))),
-                        "n": pa.array(np.full(len(signed), len(found), np.int64)),
-                        "pos": pa.array(before.astype(np.int64)),
+                        "sign": longs(np.concatenate(signed)),
+                        "key": pa.array(keys, pa.binary()).take(pa.array(each)),
+                        "n": pa.array(np.array(sizes, np.int64)[each]),
+                        "pos": pa.array(np.concatenate(before).astype(np.int64)),
                     }
                 )
 
@@ -192,24 +200,48 @@ def _with_centres(rows: pa.RecordBatch, following: pa.RecordBatch, last) -> Iter
     yield pa.RecordBatch.from_pydict(columns).filter(pa.array(keep))
 
 
-def _verify(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def fingerprint(tokens: np.ndarray) -> bytes:
+    """How many hashes of a set begin with each value of their first bits, in a byte each. There are
+    as many values as the set has members, or up to twice as many."""
+    bits = len(tokens).bit_length()
+    counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def most_shared(left: bytes, right: bytes) -> float:
+    """No fewer than two sets share, from their fingerprints."""
+    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in sorted((left, right), key=len))
+    b = b.reshape(len(a), -1).sum(axis=1)
+    both = np.minimum(a, b)
+    return np.inf if len(both) and both.max() >= 255 else float(both.sum())
+
+
+def _by_fingerprint(left: pa.Scalar, right: pa.Scalar) -> tuple[int, int, float]:
+    a, b = left.as_py(), right.as_py()
+    return sum(a), sum(b), most_shared(a, b)
+
+
+def _by_set(left: pa.Scalar, right: pa.Scalar) -> tuple[int, int, float]:
+    a, b = left.values.to_numpy(), right.values.to_numpy()
+    at = np.searchsorted(b, a)
+    return len(a), len(b), int((b[np.minimum(at, len(b) - 1)] == a).sum())
+
+
+def _similar(percent: int, shared: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            left, right = batch.column("left"), batch.column("right")
-            for at in range(batch.num_rows):
-                a, b = left[at].values.to_numpy(), right[at].values.to_numpy()
-                both = np.searchsorted(b, a)
-                shared = int((b[np.minimum(both, len(b) - 1)] == a).sum())
-                linked.append(100 * shared >= percent * (len(a) + len(b) - shared))
-            keep = pa.array(linked, pa.bool_())
-            yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in ("u", "v")}).filter(keep)
+            keep = []
+            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
+                n, m, both = shared(left, right)
+                keep.append((100 + percent) * both >= percent * (n + m))
+            yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in ("u", "v")}).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _emit_sets(size: int, wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Sets whose key's first bits are in a bitmap: all that are wanted, and a few more."""
+def _emit(size: int, wanted, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sets, or their fingerprints, whose key's first bits are in a bitmap: all that are wanted, and a
+    few more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = wanted.value
@@ -221,9 +253,10 @@ def _emit_sets(size: int, wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                 bit = int.from_bytes(key[:4], "big") >> (32 - _BITS)
                 if len(tokens) and key not in done and bitmap[bit >> 3] >> (bit & 7) & 1:
                     done.add(key)
-                    found[key] = np.sort(tokens.view(np.int64)).view(np.uint64)
+                    found[key] = np.sort(tokens.view(np.int64)).view(np.uint64) if whole else fingerprint(tokens)
             if found:
-                yield pa.RecordBatch.from_pydict({"key": pa.array(list(found), pa.binary()), "shingles": long_lists(list(found.values()))})
+                bodies = long_lists(list(found.values())) if whole else pa.array(list(found.values()), pa.binary())
+                yield pa.RecordBatch.from_pydict({"key": pa.array(list(found), pa.binary()), "body": bodies})
 
     return run
 
@@ -244,10 +277,10 @@ def _possible(percent: int) -> str:
     return f"{100 + percent} * least(n - pos, centre_n - centre_pos) >= {percent} * (n + centre_n)"
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT, tag: str | None = None) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``row`` (its number in the input), ``n_shingles``, ``component_id``
     (the least id that links lead to, its own included), ``class_size`` (rows with the same set) and
-    ``kept`` (true for one row of each component).
+    ``kept`` (true for one row of each component); with ``tag`` also that column of longs, as ``tag``.
 
     Two sets are linked if ``100 * shared >= percent * all``. A NULL text, or one without words, has
     an empty set, is linked with nothing and stays. NULL ids come last: a component is named NULL
@@ -255,11 +288,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     Sets are held as 64-bit hashes of shingles.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), *([tag] if tag else []))
     kind = dict(texts.dtypes)["doc_id"]
-    scanned = texts.withColumn("row", F.monotonically_increasing_id())
-    scanned = written(scanned.mapInArrow(_scan(size), f"doc_id {kind}, row long, key binary, n long, token long, times long"), "sets")
-    rows = scanned.where("token IS NULL").select("doc_id", "row", "key", "n")
+    tagged = texts.withColumns({"row": F.monotonically_increasing_id(), "tag": F.col(tag) if tag else F.lit(0).cast("long")})
+    scanned = tagged.mapInArrow(_scan(size), f"doc_id {kind}, row long, tag long, key binary, n long, token long, times long")
+    scanned = written(scanned, "sets")
+    rows = scanned.where("token IS NULL").select("doc_id", "row", "tag", "key", "n")
 
     total = rows.agg(F.sum("n")).first()[0] or 0
     often = scanned.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
@@ -271,19 +305,26 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     schema = "sign long, key binary, n long, pos long, centre_key binary, centre_n long, centre_pos long"
     shared = signed.sortWithinPartitions("sign", "pos", "key").mapInArrow(_shared, schema)
     shared = written(shared, "signatures")
-    keys = shared.select("key").distinct()
 
-    wanted = spark.sparkContext.broadcast(_bitmap(keys))
-    emitted = texts.select("text").mapInArrow(_emit_sets(size, wanted), "key binary, shingles array<long>")
-    sets = written(emitted.join(keys, "key").groupBy("key").agg(F.first("shingles").alias("shingles")), "shingles")
+    def compared(pairs: DataFrame, whole: bool) -> DataFrame:
+        """The pairs that may be linked by their fingerprints, or are by their whole sets; only what
+        stands for documents in ``pairs`` leaves its task."""
+        keys = written(pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct(), "keys")
+        wanted = spark.sparkContext.broadcast(_bitmap(keys))
+        kind = "array<long>" if whole else "binary"
+        emitted = texts.select("text").mapInArrow(_emit(size, wanted, whole), f"key binary, body {kind}")
+        bodies = written(emitted.join(keys, "key").groupBy("key").agg(F.first("body").alias("body")), "bodies")
+        one = pairs.join(bodies.select(F.col("key").alias("u"), F.col("body").alias("left")), "u")
+        both = one.join(bodies.select(F.col("key").alias("v"), F.col("body").alias("right")), "v")
+        check = _similar(percent, _by_set if whole else _by_fingerprint)
+        return written(both.select("u", "v", "left", "right").mapInArrow(check, "u binary, v binary"), "links")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        one = pairs.join(sets.select(F.col("key").alias("u"), F.col("shingles").alias("left")), "u")
-        both = one.join(sets.select(F.col("key").alias("v"), F.col("shingles").alias("right")), "v")
-        return both.select("u", "v", "left", "right").mapInArrow(_verify(percent), "u binary, v binary")
+        return compared(compared(pairs, whole=False), whole=True)
 
-    to_centre = shared.where("key <> centre_key").where(_possible(percent))
-    first = written(verified(to_centre.selectExpr("centre_key AS u", "key AS v").distinct()), "links")
+    pair = [F.least("key", "centre_key").alias("u"), F.greatest("key", "centre_key").alias("v")]
+    to_centre = written(shared.where("key <> centre_key").where(_possible(percent)).select(*pair).distinct(), "pairs")
+    first = verified(to_centre)
     named = written(components(first), "components")
 
     # Signatures whose sets are in several components yet: those outside the centre's component meet all others.
@@ -293,7 +334,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     placed = written(placed.select("sign", "key", "n", "pos", "own", "of_centre"), "placed")
     outer = placed.where("own <> of_centre").selectExpr("sign", "key AS centre_key", "n AS centre_n", "pos AS centre_pos", "own AS centre_own")
     meet = placed.join(outer, "sign").where("own <> centre_own AND (own = of_centre OR key < centre_key)").where(_possible(percent))
-    second = verified(meet.selectExpr("least(key, centre_key) AS u", "greatest(key, centre_key) AS v").distinct().join(first, ["u", "v"], "left_anti"))
+    second = verified(written(meet.select(*pair).distinct().join(to_centre, ["u", "v"], "left_anti"), "pairs"))
     links = first.union(second)
     named = components(links).withColumnRenamed("node", "key")
 
@@ -308,6 +349,6 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     found = written(found, "found")
     n_all = rows.count()
     answered = lookup(some, found, "key", found.where(F.col("class_size") * 1000 > n_all), ["component_id", "head_row", "class_size"])
-    answered = answered.select("doc_id", "row", F.col("n").alias("n_shingles"), "component_id", "class_size", (F.col("row") == F.col("head_row")).alias("kept"))
-    empty = rows.where("n = 0").select("doc_id", "row", F.col("n"), F.col("doc_id"), F.lit(1).cast("long"), F.lit(True))
-    return answered.union(empty)
+    answered = answered.select("doc_id", "row", F.col("n").alias("n_shingles"), "component_id", "class_size", (F.col("row") == F.col("head_row")).alias("kept"), "tag")
+    empty = rows.where("n = 0").select("doc_id", "row", F.col("n"), F.col("doc_id"), F.lit(1).cast("long"), F.lit(True), "tag")
+    return answered.union(empty) if tag else answered.union(empty).drop("tag")

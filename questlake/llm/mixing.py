@@ -130,9 +130,10 @@ def mix(
     share: float = SHARE,
     cap: float = CAP,
     seed: int = SEED,
+    tag: str | None = None,
 ) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``source``, ``row`` (its number in the input), ``size`` (words),
-    ``source_size``, ``target`` (its source's), ``rate`` and ``copies``.
+    ``source_size``, ``target`` (its source's), ``rate`` and ``copies``; with ``tag`` also that column, as ``tag``.
 
     A NULL text has no words; a document without words has rate 1 and one copy, unless its source
     is at a bound. The NULL source is the last source. A seeded hash of the id orders documents of
@@ -145,6 +146,7 @@ def mix(
         word_count(F.col(text).cast("string")).alias("size"),
         F.xxhash64(F.lit(seed), F.col(doc_id)).alias("lot"),
         F.monotonically_increasing_id().alias("row"),
+        *([F.col(tag).alias("tag")] if tag else []),
     )
     sizes = written(sizes, "sizes")
     state = balance(sizes, source_targets(sizes, weights, share, cap), cap)
@@ -155,4 +157,4 @@ def mix(
     order = [F.col("skey"), F.col("size").desc(), F.col("lot"), F.col("row")]
     schema = ", ".join(f"{n} {t}" for n, t in rated.dtypes) + ", copies int"
     placed = rated.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_rounded(cap), schema)
-    return placed.select("doc_id", "source", "row", "size", "source_size", "target", "rate", "copies")
+    return placed.select("doc_id", "source", "row", "size", "source_size", "target", "rate", "copies", *(["tag"] if tag else []))

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from questlake.llm.common import texts_of
+from questlake.llm.common import free_name, texts_of
 
 #: The bounded sample that the model is fitted on: so many labelled rows of either class for the
 #: dictionaries, so many others for the calibration, none of more than so many bytes.
@@ -153,32 +153,33 @@ def fit_quality(
     return QualityModel(good, bad, tuple(map(float, logistic(x, y))), base)
 
 
-def _scores(model: QualityModel) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scores(model: QualityModel, text_name: str, score_name: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizer = _Sizer(model.good, model.bad)
         w_good, w_bad, bias = model.weights
         for batch in batches:
             scores = []
-            for text in texts_of(batch.column("_text")):
+            for text in texts_of(batch.column(text_name)):
                 if text:
                     with_good, with_bad = sizer.sizes(text)
                     z = w_good * with_good + w_bad * with_bad + bias
                     scores.append(1 / (1 + np.exp(-min(500.0, max(-500.0, z)))))
                 else:
                     scores.append(model.base)
-            columns = {n: batch.column(n) for n in batch.schema.names if n != "_text"}
-            columns["quality_score"] = pa.array(scores, pa.float64())
+            columns = {n: batch.column(n) for n in batch.schema.names if n != text_name}
+            columns[score_name] = pa.array(scores, pa.float64())
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
-def score_quality(docs: DataFrame, model: QualityModel, *, text: str = "text") -> DataFrame:
-    """``docs`` with ``quality_score``, from 0 to 1, of the whole text; a column of that name is replaced.
+def score_quality(docs: DataFrame, model: QualityModel, *, text: str = "text", into: str = "quality_score") -> DataFrame:
+    """``docs`` with the column ``into``: the quality of the whole text, from 0 to 1.
 
-    NULL and empty texts score ``model.base``. The score depends on nothing but the text, so
-    repeated rows score alike. Rows are scored one by one where they are read: nothing is shuffled.
+    ``into`` must not be a column of ``docs`` (see ``free_name``). NULL and empty texts score
+    ``model.base``. The score depends on nothing but the text, so repeated rows score alike. Rows
+    are scored where they are read: nothing is shuffled.
     """
-    rest = docs.drop(*[c for c in docs.columns if c.lower() in ("quality_score", "_text")])
-    schema = ", ".join([*(f"`{n}` {t}" for n, t in rest.dtypes), "quality_score double"])
-    return rest.withColumn("_text", F.col(text).cast("string")).mapInArrow(_scores(model), schema)
+    text_name = free_name(docs, "scored_text")
+    schema = ", ".join([*(f"`{n}` {t}" for n, t in docs.dtypes), f"`{into}` double"])
+    return docs.withColumn(text_name, F.col(text).cast("string")).mapInArrow(_scores(model, text_name, into), schema)

@@ -13,7 +13,7 @@ from questlake.llm.license_scan import TEMPLATES, TERM, THRESHOLD, TRIGGER, scan
 from questlake.llm.mixing import mix
 from questlake.llm.pii import KINDS, find_personal_data
 from questlake.llm.quality import fit_quality, held_out, score_quality
-from questlake.llm.registry import query, table
+from questlake.llm.registry import QUERIES, query, table  # noqa: F401
 from questlake.llm.sharding import read_shards, shuffle_to_files
 from questlake.llm.substring_dedup import remove_repeats
 from questlake.llm.url_filter import judge_captures, url_keys
