@@ -144,6 +144,14 @@ def page_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Projections and filters
 
 
+@query("int_rounding", "SELECT l_orderkey, l_linenumber, CAST(round(l_quantity / 2 - 0.0000001) AS BIGINT) AS v FROM lineitem")
+def int_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers just below a half, read as whole numbers."""
+    document = F.to_variant_object(F.struct((F.col("l_quantity") / 2 - 0.0000001).alias("v")))
+    raw = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", document.alias("raw_data"))
+    return extract(raw, [Field("v", "$.v", "bigint")], keep=["l_orderkey", "l_linenumber"])
+
+
 @query("json_extract", "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "events").select("event_id", F.try_parse_json("props").alias("raw_data"))
@@ -326,6 +334,20 @@ def average_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "rounded_avg_wide",
+    """SELECT l_returnflag, round(avg(l_discount * 1e-6), 10) AS tiny, round(avg(l_extendedprice * 1e10), -4) AS large,
+         avg(CASE WHEN l_linenumber = 7 THEN 'NaN'::DOUBLE ELSE l_tax END) AS not_a_number FROM lineitem GROUP BY 1""",
+)
+def average_of_tiny_and_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    odd = F.when(F.col("l_linenumber") == 7, float("nan")).otherwise(F.col("l_tax"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
+        rounded_avg(F.col("l_discount") * 1e-6, 10).alias("tiny"),
+        rounded_avg(F.col("l_extendedprice") * 1e10, -4).alias("large"),
+        rounded_avg(odd, 2).alias("not_a_number"),
+    )
+
+
 @query(
     "genre_trends",
     f"""SELECT name, CAST(year(l_shipdate) AS INTEGER) AS release_year, count(DISTINCT l_orderkey) AS game_count,
@@ -466,6 +488,15 @@ def embed_text_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.alias("embed_text"))
 
 
+@query(
+    "embed_text_full",
+    "SELECT doc_id, concat_ws(' | ', source, nullif(lang, ''), nullif(text, '')) AS embed_text FROM documents",
+)
+def embed_text_in_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = embed_text(F.col("source"), F.col("lang"), F.col("text"), max_chars=None)
+    return table(spark, sf_dir, "documents").select("doc_id", text.alias("embed_text"))
+
+
 @query(
     "embed_documents",
     r"""WITH counts AS (
