@@ -25,7 +25,7 @@ from questlake.session import new_dir
 from questlake.sources.jsonl import entity_path, load_summary, read_raw, read_rejects, write_bronze
 from questlake.sources.pages import page_results as results_of_pages
 from questlake.sources.retention import expired_dates
-from questlake.streaming.incremental import load_new_files, read_raw_table
+from questlake.streaming.incremental import load_new_files, read_raw_table, read_rejected
 
 
 def _lines(*columns: Column) -> Column:
@@ -83,6 +83,20 @@ def raw_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_raw_table(spark, target), fields)
 
 
+@query(
+    "raw_incremental_rejects",
+    """SELECT '{"name": "' || c_name || '", "open": ' AS value, (SELECT count(*) FROM orders) AS loaded,
+         (SELECT count(*) FROM customer) AS rejected FROM customer""",
+)
+def raw_incremental_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with broken lines of customers between them: the rejects, and what the load counted."""
+    source, target, checkpoint = (new_dir(spark, n) for n in ("lines", "raw", "checkpoint"))
+    broken = table(spark, sf_dir, "customer").select(F.concat(F.lit('{"name": "'), "c_name", F.lit('", "open": ')).alias("value"))
+    table(spark, sf_dir, "orders").select(_lines(F.col("o_orderkey").alias("id"))).union(broken).write.text(source)
+    loaded, rejected = load_new_files(spark, source, target, checkpoint)
+    return read_rejected(spark, target).select("value", F.lit(loaded).cast("bigint").alias("loaded"), F.lit(rejected).cast("bigint").alias("rejected"))
+
+
 @query("bronze_roundtrip", _EVENT_SQL.format(more=", CAST(ts AS DATE) AS ingest_date"))
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All dates written, then written again: each date is replaced, not doubled."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from questlake.plans.embed_sync import sync_embeddings
 from questlake.session import materialise
 from questlake.sources.jsonl import entity_path, read_raw, write_bronze
 from questlake.sources.pages import page_results
+from questlake.sources.retention import drop_expired
 from questlake.sources.snapshots import publish, read_published
 from questlake.streaming.incremental import load_new_files, read_raw_table
 
@@ -48,22 +50,29 @@ def _id() -> Column:
 def fetched_games(pages: DataFrame, details: DataFrame, as_of: dt.date | None = None, days: int = 7) -> DataFrame:
     """Records of the landed pages, in the release window, overlaid with their details.
 
-    ``details`` may hold a document more than once; the latest load counts.
+    ``details`` may hold a document more than once: the latest load counts, of one load the file
+    whose path comes last, which is the newest where files lie in folders by date.
     """
     records = page_results(pages)
     released = F.try_variant_get("raw_data", "$.released", "string")
     accepted, _ = split_window(records, released, as_of, days)
     keyed = details.where(has_key(F.col("raw_data"), "$.id")).withColumn("_id", _id())
-    one_each = latest_by_key(keyed, ["_id"], F.col("loaded_at"), [F.xxhash64(F.to_json("raw_data")).asc()])
+    ties = [F.col("source_file").desc()] if "source_file" in details.columns else []
+    ties += [F.xxhash64(F.to_json("raw_data")).asc()]
+    one_each = latest_by_key(keyed, ["_id"], F.col("loaded_at"), ties)
     return enrich_merge(accepted.withColumn("_id", _id()), one_each, "_id").drop("_id")
 
 
-def ingest(spark: SparkSession, landing: str, bronze: str, as_of: dt.date | None = None, days: int = 7) -> dict[str, int]:
+def ingest(
+    spark: SparkSession, landing: str, bronze: str, as_of: dt.date | None = None, days: int = 7, run: dt.date | None = None
+) -> dict[str, int]:
     """From landed files to bronze: ``landing`` holds ``games``, ``genres`` and ``platforms``
-    pages and game ``details``. Writes the partition of the window's last day; returns counts."""
+    pages and game ``details``, each in a folder per run date below if ``run`` is given; only the
+    files of that run are then read. Writes the partition of the window's last day; returns counts."""
     _, end = window_bounds(as_of, days)
-    pages = {e: read_raw(spark, entity_path(landing, e)) for e in ENTITIES}
-    details = read_raw(spark, entity_path(landing, "details"))
+    landed = lambda entity: entity_path(landing, entity) + (f"/{run}" if run else "")
+    pages = {e: read_raw(spark, landed(e)) for e in ENTITIES}
+    details = read_raw(spark, landed("details"))
     docs = {e: page_results(pages[e]) for e in ENTITIES if e != "games"}
     docs["games"] = fetched_games(pages["games"], details, end, days)
     counts = {}
@@ -105,23 +114,36 @@ def run_all(
     out: str,
     embed: Embedder,
     loaded_at: dt.datetime | None = None,
+    buckets: int = 64,
+    partitions: int | None = None,
+    index: str | None = None,
+    retain: tuple[dt.date, int] | None = None,
 ) -> dict[str, object]:
     """Load new bronze files, stage, build the marts, test, then embed and publish.
 
-    Equal load times are decided by file name and a hash of the document. A failing test raises
-    ``DataQualityError`` before anything is embedded or published.
+    Equal load times are decided by file name and the hash of the line. A failing test raises
+    ``DataQualityError`` before anything is embedded or published. These two run side by side, and
+    one that fails does not stop the other: its error is raised when both have ended. ``buckets``,
+    ``partitions`` and ``index`` are those of ``sync_embeddings``; with ``retain``, a date and a
+    number of days, bronze folders older than that are deleted in the end.
     """
-    loaded, raw = {}, {}
+    loaded, rejected, raw = {}, {}, {}
     for entity in ENTITIES:
         target = f"{out}/raw/{entity}"
-        loaded[entity] = load_new_files(
+        loaded[entity], rejected[entity] = load_new_files(
             spark, entity_path(bronze, entity), target, f"{out}/checkpoints/{entity}", loaded_at
         )
-        raw[entity] = read_raw_table(spark, target).withColumn("_hash", F.xxhash64(F.to_json("raw_data")))
-    staged = build_staging(raw, f"{out}/staging", (F.desc("source_file"), F.asc("_hash")))
+        raw[entity] = read_raw_table(spark, target)
+    staged = build_staging(raw, f"{out}/staging", (F.desc("source_file"), F.asc("line_hash")))
     built = build_marts(staged["stg_games"], f"{out}/mart")
     result = materialise(quality.summary({**staged, **built}, TESTS), "tests")
     quality.require_clean(result)
-    embedded = sync_embeddings(staged["stg_games"], f"{out}/vectors", embed, loaded_at)
-    return {"loaded": loaded, "tests": result.count(), "embedded": embedded["embedded"],
-            "published": publish_marts(built, f"{out}/published")}
+    with ThreadPoolExecutor(2) as both:
+        embedded = both.submit(sync_embeddings, staged["stg_games"], f"{out}/vectors", embed, loaded_at, buckets, partitions, index)
+        published = both.submit(publish_marts, built, f"{out}/published")
+    outcome = {"loaded": loaded, "rejected": rejected, "tests": result.count(),
+               "published": published.result(), "embedded": embedded.result()["embedded"]}
+    if retain:
+        for entity in ENTITIES:
+            drop_expired(spark, entity_path(bronze, entity), *retain)
+    return outcome

@@ -49,6 +49,17 @@ def extract(docs: DataFrame, fields: Sequence[Field], strict: bool = True, keep:
     return docs.select(*[field(F.col("raw_data"), f, strict).alias(f.name) for f in fields], *keep)
 
 
+def _bad_key(fields: Sequence[Field]) -> Column:
+    """Whether the key holds a value that does not cast."""
+    raw, key = F.col("raw_data"), fields[0]
+    return field(raw, key, strict=False).isNull() & F.try_variant_get(raw, key.path, "string").isNotNull()
+
+
+def key_rejects(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
+    """The documents whose key does not cast."""
+    return raw.where(_bad_key(fields))
+
+
 def latest(
     raw: DataFrame,
     fields: Sequence[Field],
@@ -60,13 +71,19 @@ def latest(
 
     Columns are extracted before the shuffle, so it carries what the reader of the result
     selects and not whole documents. With ``strict`` a value that does not cast raises, but
-    only in a document that is the latest of its key. ``ties`` may name columns of ``raw``.
+    only in a document that is the latest of its key; a key that does not cast raises in any.
+    Without it such values are NULL, and documents with such a key are left to ``key_rejects``.
+    ``ties`` may name columns of ``raw``.
     """
     key = fields[0].name
     keyed = raw.where(has_key(F.col("raw_data"), fields[0].path))
+    if not strict:
+        keyed = keyed.where(~_bad_key(fields))
     carried = [c for c in raw.columns if c != "raw_data" and c not in {f.name for f in fields}]
     typed = keyed.select(*[field(F.col("raw_data"), f, strict=False).alias(f.name) for f in fields], *carried, "raw_data")
     if strict:
+        wrong = F.raise_error(F.concat(F.lit(f"values that do not cast: {key} "), F.try_variant_get("raw_data", fields[0].path, "string")))
+        typed = typed.withColumn(key, F.when(_bad_key(fields), wrong).otherwise(F.col(key)))
         typed = typed.withColumn("_failed", cast_failures(F.col("raw_data"), fields))
     rows = latest_by_key(typed.drop("raw_data"), [key], F.col(version), ties)
     if strict:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,6 +11,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHREDDING = threading.Lock()
+_WITHIN: list[int] = []
+_BEFORE: list[str] = []
 
 
 def build_session(app_name: str = "questlake", master: str | None = None, **conf: str) -> SparkSession:
@@ -52,14 +56,21 @@ def new_dir(spark: SparkSession, name: str) -> str:
 @contextmanager
 def shredded_variants(spark: SparkSession) -> Iterator[None]:
     """Within it, parquet writes store the common paths of variants as typed columns. A scan
-    then reads the paths a query extracts and not whole documents."""
+    then reads the paths a query extracts and not whole documents. Jobs of one session may be in it
+    at the same time: the setting is put back when the last one leaves."""
     name = "spark.sql.variant.inferShreddingSchema"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "true")
+    with _SHREDDING:
+        if not _WITHIN:
+            _BEFORE.append(spark.conf.get(name))
+            spark.conf.set(name, "true")
+        _WITHIN.append(1)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        with _SHREDDING:
+            _WITHIN.pop()
+            if not _WITHIN:
+                spark.conf.set(name, _BEFORE.pop())
 
 
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:

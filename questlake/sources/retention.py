@@ -26,13 +26,13 @@ def expired_dates(df: DataFrame, day: str, as_of: dt.date, days: int = RETENTION
 def drop_expired(
     spark: SparkSession, path: str, as_of: dt.date, days: int = RETENTION_DAYS, column: str = "ingest_date"
 ) -> list[str]:
-    """Delete the expired date folders of ``path``; returns their names. Works on folder names
-    and reads no data."""
+    """Delete the expired date folders of ``path``, named ``column=2026-06-13`` or ``2026-06-13``;
+    returns their names. Works on folder names and reads no data."""
     oldest, gone = as_of - dt.timedelta(days=days), []
     for folder in hdfs.child_folders(spark, path):
-        name, _, value = folder.partition("=")
+        name, named, value = folder.partition("=")
         try:
-            expired = name == column and dt.date.fromisoformat(value) < oldest
+            expired = (name == column or not named) and dt.date.fromisoformat(value if named else name) < oldest
         except ValueError:
             continue
         if expired:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,21 @@ from questlake.session import shredded_variants
 from questlake.sources import hdfs
 from questlake.sources.jsonl import load_stamp
 
-RAW_SCHEMA = "raw_data variant, loaded_at timestamp, source_file string"
+RAW_SCHEMA = "raw_data variant, loaded_at timestamp, source_file string, line_hash bigint, rejected string"
+
+
+class Loaded(NamedTuple):
+    """What a load appended: documents, and malformed lines."""
+
+    loaded: int
+    rejected: int
+
+
+def _counts(spark: SparkSession, target: str) -> Loaded:
+    if not hdfs.exists(spark, target):
+        return Loaded(0, 0)
+    rows = spark.read.schema(RAW_SCHEMA).parquet(target).agg(F.count(F.lit(1)).alias("n"), F.count("rejected").alias("bad")).first()
+    return Loaded(rows.n - rows.bad, rows.bad)
 
 
 def load_new_files(
@@ -21,27 +36,34 @@ def load_new_files(
     checkpoint: str,
     loaded_at: dt.datetime | None = None,
     files_per_batch: int = 10_000,
-) -> int:
+) -> Loaded:
     """Append the documents of files not yet loaded to the raw table at ``target``.
 
     A file stream with ``availableNow`` runs until all files present are loaded, in batches of
     ``files_per_batch``, and stops. The checkpoint knows each loaded file, and the file sink
-    commits a batch once even if it is retried. Returns the number of lines read.
+    commits a batch once even if it is retried. All batches of a load have one load time, taken
+    before it starts. Malformed lines go to the same table, in ``rejected``. Returns how many of
+    both were appended, counted in the table: one load may write to it at a time.
     A source folder that does not exist yet has no files.
     """
     if not hdfs.exists(spark, source):
-        return 0
+        return Loaded(0, 0)
+    before = _counts(spark, target)
+    stamp = loaded_at or dt.datetime.now(dt.timezone.utc)
     lines = (
         spark.readStream.schema("value string")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .text(source)
     )
-    docs = lines.select(
+    parsed = lines.where(F.trim("value") != "").select(
         F.try_parse_json("value").alias("raw_data"),
-        load_stamp(loaded_at).alias("loaded_at"),
+        load_stamp(stamp).alias("loaded_at"),
         F.col("_metadata.file_path").alias("source_file"),
-    ).where(F.col("raw_data").isNotNull())
+        F.xxhash64("value").alias("line_hash"),
+        "value",
+    )
+    docs = parsed.withColumn("rejected", F.when(F.col("raw_data").isNull(), F.col("value"))).drop("value")
     with shredded_variants(spark):
         query = (
             docs.writeStream.format("parquet")
@@ -51,11 +73,20 @@ def load_new_files(
             .start()
         )
         query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    after = _counts(spark, target)
+    return Loaded(after.loaded - before.loaded, after.rejected - before.rejected)
 
 
 def read_raw_table(spark: SparkSession, target: str) -> DataFrame:
     """The raw table written by ``load_new_files``; empty if nothing was loaded yet."""
     if not hdfs.exists(spark, target):
-        return spark.createDataFrame([], RAW_SCHEMA)
-    return spark.read.schema(RAW_SCHEMA).parquet(target)
+        return spark.createDataFrame([], RAW_SCHEMA).drop("rejected")
+    return spark.read.schema(RAW_SCHEMA).parquet(target).where("rejected IS NULL").drop("rejected")
+
+
+def read_rejected(spark: SparkSession, target: str) -> DataFrame:
+    """The malformed lines that loads met: ``value``, ``loaded_at`` and ``source_file``."""
+    if not hdfs.exists(spark, target):
+        return spark.createDataFrame([], "value string, loaded_at timestamp, source_file string")
+    rows = spark.read.schema(RAW_SCHEMA).parquet(target).where("rejected IS NOT NULL")
+    return rows.select(F.col("rejected").alias("value"), "loaded_at", "source_file")

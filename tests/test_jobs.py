@@ -8,8 +8,9 @@ from questlake.operators.embed import hashed_words
 from questlake.operators.quality import DataQualityError
 from questlake.plans import marts, staging
 from questlake.plans.embed_sync import embed_query, embeddable, pending_games, search, sync_embeddings
-from questlake.plans.jobs import ingest, run_all
+from questlake.plans.jobs import fetched_games, ingest, run_all
 from questlake.plans.reports import report
+from questlake.sources.jsonl import read_raw
 from questlake.sources.snapshots import read_published
 
 END = dt.date(2026, 6, 20)
@@ -141,6 +142,46 @@ def test_failing_test_stops_publish_and_embed(spark, tmp_path):
     assert not (tmp_path / "out" / "published").exists() and not (tmp_path / "out" / "vectors").exists()
 
 
+def test_failing_model_leaves_the_publish_done(spark, tmp_path):
+    bronze, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    ingest(spark, landing(tmp_path / "in", [game(1)], [{"id": 1, "description_raw": "d"}]), bronze, END)
+
+    def broken(texts, input_type):
+        raise RuntimeError("no model")
+
+    with pytest.raises(Exception, match="no model"):
+        run_all(spark, bronze, out, broken)
+    assert read_published(spark, f"{out}/published", "mart_catalog_stats").first().total_games == 1
+    again = run_all(spark, bronze, out, hashed_words(), buckets=4, retain=(dt.date(2026, 8, 1), 30))
+    assert again["embedded"] == 1 and not list((tmp_path / "bronze" / "games").glob("ingest_date=*"))
+
+
+def test_ingest_reads_the_files_of_its_run(spark, tmp_path):
+    for day, text in (("2026-06-13", "old"), ("2026-06-20", "new")):
+        for entity, pages in (("games", [{"results": [game(1, name=text)]}]), ("details", [{"id": 1, "description_raw": text}])):
+            land(tmp_path / entity, day, *pages)
+        for entity in ("genres", "platforms"):
+            land(tmp_path / entity, day, {"results": [{"id": 1, "name": text}]})
+
+    def names(entity):
+        rows = spark.read.text(f"{tmp_path}/bronze/{entity}/ingest_date=2026-06-20").collect()
+        return [(d["name"], d.get("description_raw")) for d in (json.loads(r.value) for r in rows)]
+
+    ingest(spark, str(tmp_path), str(tmp_path / "bronze"), END, run=END)
+    assert names("games") == [("new", "new")] and names("genres") == [("new", None)]
+    details = read_raw(spark, [f"{tmp_path}/details/2026-06-20", f"{tmp_path}/details/2026-06-13"], dt.datetime(2026, 6, 20))
+    pages = read_raw(spark, f"{tmp_path}/games/2026-06-20")
+    assert [json.loads(r.raw_data.toJson())["description_raw"] for r in fetched_games(pages, details, END).collect()] == ["new"]
+
+
+def test_key_that_does_not_cast_is_not_lost(docs):
+    raw = docs('{"id": null, "name": "later"}', '{"id": "abc", "name": "x"}', '{"id": "7"}', '{"id": 8.4}', '{"name": "none"}')
+    with pytest.raises(Exception, match="game_id abc"):
+        staging.stg_games(raw).collect()
+    assert {r.game_id for r in staging.stg_games(raw, strict=False).collect()} == {None, 7, 8}
+    assert staging.key_rejects(raw, staging.GAMES).count() == 1
+
+
 def test_stored_but_not_embedded_is_pending(spark, docs, tmp_path):
     rows = staged(docs, game(1, description_raw="d"), game(2, description_raw="d"))
     store = str(tmp_path / "vectors")

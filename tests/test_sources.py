@@ -11,7 +11,7 @@ from questlake.sources.jsonl import preview, read_raw, read_rejects, write_bronz
 from questlake.sources.pages import page_results
 from questlake.sources.retention import drop_expired
 from questlake.sources.snapshots import merge_buckets, publish, read_published
-from questlake.streaming.incremental import load_new_files, read_raw_table
+from questlake.streaming.incremental import load_new_files, read_raw_table, read_rejected
 
 
 def texts(df, column="raw_data"):
@@ -50,15 +50,16 @@ def test_bronze_replaces_its_date_only(spark, docs, tmp_path):
 
 def test_each_file_is_loaded_once(spark, tmp_path):
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "raw", "ckpt"))
-    assert load_new_files(spark, source, target, checkpoint) == 0
+    assert load_new_files(spark, source, target, checkpoint) == (0, 0)
     assert read_raw_table(spark, target).count() == 0
     day = tmp_path / "in" / "2026-06-13"
     day.mkdir(parents=True)
     (day / "data.jsonl").write_text('{"id": 1}\n{bad\n')
-    assert load_new_files(spark, source, target, checkpoint) == 2
-    assert load_new_files(spark, source, target, checkpoint) == 0
+    assert load_new_files(spark, source, target, checkpoint) == (1, 1)
+    assert load_new_files(spark, source, target, checkpoint) == (0, 0)
     (day / "more.jsonl").write_text('{"id": 2}\n')
-    assert load_new_files(spark, source, target, checkpoint, dt.datetime(2026, 6, 20)) == 1
+    assert load_new_files(spark, source, target, checkpoint, dt.datetime(2026, 6, 20)) == (1, 0)
+    assert [r.value for r in read_rejected(spark, target).collect()] == ["{bad"]
     rows = read_raw_table(spark, target)
     assert texts(rows) == ['{"id":1}', '{"id":2}']
     assert rows.where("loaded_at = timestamp '2026-06-20'").count() == 1
