@@ -28,8 +28,10 @@ from questlake.llm.shingles import long_lists, longs, members, mixed, set_key, s
 
 #: Fixed by the contract: words per shingle, and shared shingles in a hundred of both sets.
 SIZE, PERCENT = 3, 90
-#: Shingles counted at a time; one in a million of them, and four at least, may be frequent.
-_CHUNK, _MOST_FREQUENT, _LEAST_FREQUENT = 4_000_000, 1 << 20, 8
+#: A shingle is frequent if it was counted so often, or more than once in so many shingles.
+_LEAST_FREQUENT, _MOST_FREQUENT = 16, 1 << 23
+#: Shingles that are counted at a time.
+_CHUNK = 1_000_000
 #: Sets of up to so many bits of size sign with single shingles only: their prefixes are too short for pairs.
 _SINGLES = 6
 #: Frequent shingles of a prefix that a group of them holds, on average, are about four.
@@ -44,41 +46,59 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
             yield batch.slice(words.row, len(sets)), sets
 
 
-def _frequent_of(chunk: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    tokens, counts = np.unique(np.concatenate(chunk), return_counts=True)
-    often = counts >= max(2, -(-sum(map(len, chunk)) // _MOST_FREQUENT))
-    return tokens[often], counts[often]
+def _scan(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A row per document: the key and the size of its set."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, sets in _sets(batches, size):
+            columns = {n: batch.column(n) for n in ("doc_id", "row", "tag")}
+            columns |= {"key": pa.array([set_key(s) for s in sets], pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns)
 
-def _scan(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row per document (``key`` of its set, ``n``), and rows with the shingles that are frequent in
-    a chunk of the documents read by this task (``token``, ``times``)."""
+    return run
+
+
+def _sizes(n: int, percent: int) -> list[int]:
+    """The powers of two of sizes that a set of ``n`` signs for: its own, and the next one if a similar
+    set can be that large."""
+    return sorted({n.bit_length(), (n * 100 // percent).bit_length()})
+
+
+def tagged(tokens: np.ndarray, bits: int) -> np.ndarray:
+    """Shingles as signatures of sets of one power of two of sizes."""
+    return mixed(tokens ^ mixed(np.array([bits], np.uint64)))
 
-    def counted(chunk: list[np.ndarray], schema: pa.Schema) -> pa.RecordBatch:
-        tokens, times = _frequent_of(chunk)
-        empty = {n: pa.nulls(len(tokens), schema.field(n).type) for n in schema.names}
-        return pa.RecordBatch.from_pydict(empty | {"token": longs(tokens), "times": pa.array(times.astype(np.int64))}, schema=schema)
+
+def _count(size: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """How often single signatures occur in a chunk of sets: those of prefixes, which are taken a
+    quarter longer than they must be, as taking out the frequent ones makes them longer; and all
+    that several sets of the chunk have, as a large family of copies runs through its whole sets."""
+
+    def counted(whole: list[np.ndarray], prefixes: list[np.ndarray]) -> pa.RecordBatch:
+        signs, times = np.unique(np.concatenate(whole), return_counts=True)
+        keep = (times > 1) | members(signs, np.unique(np.concatenate(prefixes)))
+        return pa.RecordBatch.from_pydict({"sign": longs(signs[keep]), "times": pa.array(times[keep].astype(np.int64))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk: dict[bytes, np.ndarray] = {}
-        held, schema = 0, None
-        for batch, sets in _sets(batches, size):
-            keys = [set_key(s) for s in sets]
-            columns = {n: batch.column(n) for n in ("doc_id", "row", "tag")} | {"key": pa.array(keys, pa.binary())}
-            columns |= {"n": pa.array([len(s) for s in sets], pa.int64())}
-            columns |= {n: pa.nulls(len(sets), pa.int64()) for n in ("token", "times")}
-            out = pa.RecordBatch.from_pydict(columns)
-            schema = out.schema
-            yield out
-            for key, found in zip(keys, sets, strict=True):
-                if len(found) and key not in chunk:
-                    chunk[key] = found
-                    held += len(found)
+        done: set[bytes] = set()
+        whole, prefixes, held = [], [], 0
+        for _, sets in _sets(batches, size):
+            for tokens in sets:
+                key = set_key(tokens)
+                if not len(tokens) or key in done:
+                    continue
+                done.add(key)
+                need = len(tokens) - -(-len(tokens) * percent // 100) + 1
+                for bits in _sizes(len(tokens), percent):
+                    signs = tagged(tokens, bits)
+                    whole.append(signs)
+                    prefixes.append(signs[: need + need // 4 + 2])
+                    held += len(signs)
                 if held >= _CHUNK:
-                    yield counted(list(chunk.values()), schema)
-                    chunk, held = {}, 0
+                    yield counted(whole, prefixes)
+                    whole, prefixes, held = [], [], 0
         if held:
-            yield counted(list(chunk.values()), schema)
+            yield counted(whole, prefixes)
 
     return run
 
@@ -98,28 +118,27 @@ def _pairs_within(tokens: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, n
 def signatures(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of a set, and for each how many shingles come before it in the set's order.
 
-    A signature holds for sets of one power of two of sizes. A set signs for its own, and for the
-    next one if a similar set can be that large.
+    ``frequent`` holds the single signatures that are frequent, sorted.
     """
     n = len(tokens)
     need = n - -(-n * percent // 100) + 1
-    common = members(tokens, frequent)
-    rare, often = tokens[~common], tokens[common]
     found, before = [], []
-    for bits in sorted({n.bit_length(), (n * 100 // percent).bit_length()}):
-        tag = mixed(np.array([bits], np.uint64))
+    for bits in _sizes(n, percent):
+        signs = tagged(tokens, bits)
+        common = members(signs, frequent)
+        rare, often = signs[~common], signs[common]
         groups = (1 << bits) // _GROUP
         if bits <= _SINGLES or len(rare) >= need:
             prefix = np.concatenate([rare, often])[:need]
-            found.append(mixed(prefix ^ tag))
+            found.append(prefix)
             before.append(np.arange(len(prefix)))
             continue
-        group = mixed(often ^ tag) % np.uint64(groups)
+        group = often % np.uint64(groups)
         first = np.zeros(len(often), bool)
         first[np.unique(group, return_index=True)[1]] = True
         enough = int(np.searchsorted(np.cumsum(~first), need - len(rare)))
         left, right = _pairs_within(often[: enough + 1], group[: enough + 1])
-        found += [mixed(rare ^ tag), mixed(mixed(left ^ tag) ^ right)]
+        found += [rare, mixed(mixed(left) ^ right)]
         before += [np.arange(len(rare)), np.full(len(left), len(rare))]
     return np.concatenate(found), np.concatenate(before)
 
@@ -290,14 +309,14 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), *([tag] if tag else []))
     kind = dict(texts.dtypes)["doc_id"]
-    tagged = texts.withColumns({"row": F.monotonically_increasing_id(), "tag": F.col(tag) if tag else F.lit(0).cast("long")})
-    scanned = tagged.mapInArrow(_scan(size), f"doc_id {kind}, row long, tag long, key binary, n long, token long, times long")
-    scanned = written(scanned, "sets")
-    rows = scanned.where("token IS NULL").select("doc_id", "row", "tag", "key", "n")
-
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    often = scanned.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times"))
-    often = often.where(F.col("times") >= max(_LEAST_FREQUENT, total // _MOST_FREQUENT)).select("token").toPandas()["token"]
+    numbered = texts.withColumns({"row": F.monotonically_increasing_id(), "tag": F.col(tag) if tag else F.lit(0).cast("long")})
+    rows = written(numbered.mapInArrow(_scan(size), f"doc_id {kind}, row long, tag long, key binary, n long"), "sets")
+
+    counted = texts.select("text").mapInArrow(_count(size, percent), "sign long, times long")
+    counted = written(counted.groupBy("sign").agg(F.sum("times").alias("times")).where(F.col("times") >= _LEAST_FREQUENT), "frequent")
+    # At most 2 ** 23 of them, as each takes its part of all shingles: this bounds the broadcast.
+    least = 2 * (rows.agg(F.sum("n")).first()[0] or 0) / _MOST_FREQUENT
+    often = counted.where(F.col("times") >= least).select("sign").toPandas()["sign"]
     frequent = spark.sparkContext.broadcast(np.sort(often.to_numpy(np.int64).view(np.uint64)))
 
     signed = texts.select("text").mapInArrow(_sign(size, percent, frequent), "sign long, key binary, n long, pos long")

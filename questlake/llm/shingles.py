@@ -18,7 +18,7 @@ _BASES = [(b, pow(b, -1, 1 << 64)) for b in (0xD6E8FEB86659FD93, 0xA0761D6478BD6
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.array([b | 0x20 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
 #: Bytes of text that are tokenised at a time, unless one document has more, and hashed at a time.
-_PIECE, _BLOCK = 4 << 20, 1 << 20
+_PIECE, _BLOCK = 2 << 20, 1 << 20
 
 
 def mixed(keys: np.ndarray) -> np.ndarray:

@@ -14,7 +14,7 @@ from questlake.llm import jaccard_join
 from questlake.llm.decontaminate import SuffixAutomaton
 from questlake.llm.exact_dedup import exact_dedup
 from questlake.llm.fm_index import FMIndex, WaveletTree, first_owners
-from questlake.llm.jaccard_join import fingerprint, most_shared, near_duplicates, signatures
+from questlake.llm.jaccard_join import fingerprint, most_shared, near_duplicates, signatures, tagged
 from questlake.llm.queries import QUERIES
 from questlake.llm.shingles import words_of
 from questlake.llm.substring_dedup import remove_repeats
@@ -177,6 +177,7 @@ def test_near_duplicates(spark, monkeypatch):
 def test_similar_sets_share_a_signature():
     rng = np.random.default_rng(9)
     frequent = np.sort(rng.integers(0, 1 << 63, 2000, dtype=np.uint64))
+    heavy = np.sort(np.concatenate([tagged(frequent, bits) for bits in range(12)]))
     for trial in range(300):
         n = int(rng.integers(10, 400))
         pool = np.unique(np.r_[rng.choice(frequent, int(n * rng.random())), rng.integers(0, 1 << 63, n, dtype=np.uint64)])[: n + 40]
@@ -186,7 +187,7 @@ def test_similar_sets_share_a_signature():
         both = len(np.intersect1d(a, b))
         assert most_shared(fingerprint(a), fingerprint(b)) >= both
         if 100 * both >= 90 * (len(a) + len(b) - both):
-            (x, px), (y, py) = signatures(a, frequent), signatures(b, frequent)
+            (x, px), (y, py) = signatures(a, heavy), signatures(b, heavy)
             common, i, j = np.intersect1d(x, y, return_indices=True)
             assert len(common) and (np.minimum(len(a) - px[i], len(b) - py[j]).max() >= both)
 
