@@ -41,6 +41,8 @@ class FMIndex:
     def __init__(self, texts: list[np.ndarray], symbols: int, depth: int):
         self.sequence = np.concatenate([part for text in texts for part in (text, np.zeros(1, np.int64))])
         self.suffixes = self._sorted_suffixes(depth)
+        self.places = np.empty_like(self.suffixes)
+        self.places[self.suffixes] = np.arange(len(self.suffixes))
         self.first = np.r_[0, np.cumsum(np.bincount(self.sequence, minlength=symbols))]
         self.tree = WaveletTree(self.sequence[self.suffixes - 1], symbols)
 
@@ -60,14 +62,23 @@ class FMIndex:
 
     def search(self, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The ranges of suffixes that begin with the ``size`` words at each of ``starts`` of the
-        indexed sequence, by backward search: word by word from the last to the first."""
+        indexed sequence, by backward search: word by word from the last to the first. What is
+        left with one suffix is at its own place, and is not searched on."""
         symbols = self.sequence[starts + size - 1]
         low, high = self.first[symbols], self.first[symbols + 1]
+        found_low, found_high = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
+        going = np.arange(len(starts))
         for at in range(size - 2, -1, -1):
-            symbols = self.sequence[starts + at]
+            several = high - low > 1
+            alone = going[~several]
+            found_low[alone] = self.places[starts[alone]]
+            found_high[alone] = found_low[alone] + 1
+            going, low, high = going[several], low[several], high[several]
+            symbols = self.sequence[starts[going] + at]
             low = self.first[symbols] + self.tree.rank(symbols, low)
             high = self.first[symbols] + self.tree.rank(symbols, high)
-        return low, high
+        found_low[going], found_high[going] = low, high
+        return found_low, found_high
 
 
 def first_owners(texts: list[list[bytes]], owners: np.ndarray, size: int) -> list[np.ndarray]:
