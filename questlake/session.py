@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import threading
 import uuid
@@ -31,6 +32,15 @@ def build_session(app_name: str = "questlake", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def share_code(spark: SparkSession) -> None:
+    """Let Python workers import the library from the folder that the driver has it from, wherever
+    the session was started. Where executors have other file systems, install it there."""
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, known]))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
