@@ -19,7 +19,7 @@ from questlake.llm.jaccard_join import near_duplicates
 from questlake.llm.mixing import mix
 from questlake.llm.quality import fit_quality, score_quality
 from questlake.llm.sharding import read_shards, shuffle_to_files
-from questlake.session import new_dir
+from questlake.session import new_dir, share_code
 
 SHARDS = 8
 
@@ -75,13 +75,18 @@ def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return read_shards(spark, path, SHARDS)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality", quality),
-    ("near_dedup", near_dedup),
-    ("decontaminate", decontaminate),
-    ("mixing", mixing),
-    ("sharding", sharding),
-]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _shared(stage: Stage) -> Stage:
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        share_code(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [(f.__name__, _shared(f)) for f in (quality, near_dedup, decontaminate, mixing, sharding)]
 
 #: The classifier's model and the mix's rates are fitted, which SQL cannot express.
 ORACLE_SQL = None
