@@ -22,6 +22,8 @@ from questlake.llm.sharding import read_shards, shuffle_to_files
 from questlake.session import new_dir, share_code
 
 SHARDS = 8
+#: The stage's own rule of near copies, wider than that of op7's query: words a shingle, shared shingles in a hundred of both sets.
+NEAR_SIZE, NEAR_PERCENT = 5, 80
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +50,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates: the one with the least id."""
     tag = free_name(docs, "record_hash")
     tagged = docs.withColumn(tag, record_hash(docs))
-    kept = near_duplicates(tagged, tag=tag).where("kept")
+    kept = near_duplicates(tagged, tag=tag, size=NEAR_SIZE, percent=NEAR_PERCENT).where("kept")
     return _decided(tagged, tag, kept, "kept").select(*docs.columns)
 
 
