@@ -1,17 +1,25 @@
 """License scan: headers and license files are matched to templates, other files inherit.
 
-Every line of a file that speaks of a license is a header. Headers and templates are sparse vectors
-of terms weighted by frequency and rarity; a header belongs to the template of the largest cosine.
-Equal lines are compared once. A file without a license of its own takes that of the nearest
-directory above it that has a license file.
+Every line of a file that speaks of a license is a header, and so is every block of lines: comments,
+paragraphs that speak of a license, and such lines with their neighbours. A license file also is one
+vector as a whole. Lines are compared with short forms, blocks and whole files with full notices and
+license texts (``notices.py``). Headers and templates are sparse vectors of terms weighted by
+frequency and rarity, among lines for lines and among blocks and files for these; a header belongs to
+the template of the largest cosine. Equal headers are compared once. A file without a license of its
+own takes that of the nearest directory above it that has a license file.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from questlake.llm.common import LOWER, UPPER, hot_keys, lookup, written
+from questlake.llm.notices import notices
 
 #: Short forms of common license notices by SPDX identifier.
 TEMPLATES = (
@@ -28,35 +36,113 @@ TEMPLATES = (
 TRIGGER = r"(?i)licen[cs]|copyright|public domain|spdx|redistribution"
 TERM = r"[a-z0-9]+(?:[.][0-9]+)*"
 THRESHOLD = 0.6
+#: Lines beside a line that speaks of a license which belong to its block.
+_NEAR = 2
+_TRIGGER = re.compile(TRIGGER, re.ASCII)
+_MARK = re.compile(r"\s*(?:#+|//+[!/]*|/\*+!?|\*+/?|--+|;+|%+|<!--+|[\"']{3}|dnl\b|(?:rem|REM)\b)")
+_MARK_END = re.compile(r"\s*(?:\*+/|--+>|[\"']{3})\s*$")
 
 
 def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERM), F.lit(0))
 
 
-def match_headers(lines: DataFrame, templates: DataFrame) -> DataFrame:
+def blocks(text: str) -> list[str]:
+    """The distinct header blocks of a text of more than one line, comment marks taken off: runs of comment
+    lines; runs of paragraphs that speak of a license; runs of lines that do with their neighbours."""
+    lines = re.split(r"\r\n|\n|\r", text)
+    comment = [bool(_MARK.match(line)) for line in lines]
+    plain = [_MARK_END.sub("", _MARK.sub("", line, count=1)).strip() for line in lines]
+    runs: list[list[int]] = []
+
+    def close(run: list[int]) -> None:
+        if len(run) > 1:
+            runs.append(run)
+
+    filled = [i for i, line in enumerate(plain) if line]
+    spoken = {i for i in filled if _TRIGGER.search(plain[i])}
+    run: list[int] = []
+    for i, is_comment in enumerate(comment):
+        if is_comment or run and not lines[i].strip():
+            run += [i] if plain[i] else []
+        else:
+            close(run)
+            run = []
+    close(run)
+    if spoken:
+        paragraphs: list[list[int]] = []
+        for i, line in enumerate(plain):
+            if not line:
+                paragraphs.append([])
+            elif i and paragraphs and plain[i - 1] and comment[i - 1] == comment[i]:
+                paragraphs[-1].append(i)
+            else:
+                paragraphs.append([i])
+        run = []
+        for paragraph in filter(None, paragraphs):
+            if spoken.isdisjoint(paragraph):
+                close(run)
+                run = []
+            else:
+                run += paragraph
+        close(run)
+        run, reach = [], -1
+        places = {i: at for at, i in enumerate(filled)}
+        for at in sorted(places[i] for i in spoken):
+            first = max(0, at - _NEAR)
+            if first > reach + 1:
+                close(run)
+                run, reach = [], first - 1
+            last = min(len(filled) - 1, at + _NEAR)
+            run += filled[max(first, reach + 1) : last + 1]
+            reach = last
+        close(run)
+    return list(dict.fromkeys("\n".join(plain[i] for i in run) for run in runs))
+
+
+def _blocks(license_file: re.Pattern) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The rows with their ``blocks`` instead of their text; the text of a license file is one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for path, text in zip(batch.column("path").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                of = blocks(text) if text else []
+                if text and path is not None and license_file.search(path):
+                    of.append(text)
+                found.append(list(dict.fromkeys(of)))
+            columns = {n: batch.column(n) for n in ("file_id", "row", "path", "lines")}
+            yield pa.RecordBatch.from_pydict(columns | {"blocks": pa.array(found, pa.list_(pa.string()))})
+
+    return run
+
+
+def match_headers(lines: DataFrame, templates: DataFrame, *, damped: bool = False) -> DataFrame:
     """``line, license, score`` of the best template of each line that shares a term with one.
 
-    ``lines`` has ``line`` and ``times``, how often it occurs. A term's weight is its frequency times
-    ``ln((1 + n) / (1 + df)) + 1`` over all occurrences of lines. Ties go to the first identifier.
+    ``lines`` has ``line`` and ``times``, how often it occurs, and a ``key`` if another name is to stand for it. A term's weight is its frequency, or one
+    more than the logarithm of it if ``damped``, times ``ln((1 + n) / (1 + df)) + 1`` over all
+    occurrences of lines. Ties go to the first identifier.
     """
+    often = F.log(F.col("count")) + 1.0 if damped else F.col("count")
     n = lines.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
-    terms = lines.select("line", "times", F.explode(_terms(F.col("line"))).alias("term")).groupBy("line", "times", "term").count()
+    name = F.col("key") if "key" in lines.columns else F.col("line")
+    terms = lines.select(name.alias("line"), "times", F.explode(_terms(F.col("line"))).alias("term")).groupBy("line", "times", "term").count()
     terms = written(terms, "terms")
     df = terms.groupBy("term").agg(F.sum("times").alias("df"))
     wanted = templates.select("license", F.explode(_terms(F.col("template"))).alias("term")).groupBy("license", "term").count()
     idf = F.log((1.0 + n) / (1.0 + F.coalesce("df", F.lit(0)))) + 1.0
-    weights = wanted.join(df, "term", "left").withColumn("weight", F.col("count") * idf)
+    weights = wanted.join(df, "term", "left").withColumn("weight", often * idf)
     norms = weights.groupBy("license").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    sides = weights.join(norms, "license").groupBy("term").agg(F.collect_list(F.struct("license", (F.col("weight") / F.col("norm")).alias("share"))).alias("sides"))
+    names = [row["license"] for row in templates.select("license").distinct().orderBy("license").collect()]
+    share = lambda name: F.coalesce(F.max(F.when(F.col("license") == name, F.col("weight") / F.col("norm"))), F.lit(0.0))
+    sides = weights.join(norms, "license").groupBy("term").agg(F.array(*map(share, names)).alias("shares"))
 
     busy = hot_keys(terms, ["term"])
-    rated = lookup(terms, df, "term", df.join(F.broadcast(busy), "term", "left_semi"), ["df"]).withColumn("weight", F.col("count") * idf)
+    rated = lookup(terms, df, "term", df.join(F.broadcast(busy), "term", "left_semi"), ["df"]).withColumn("weight", often * idf)
     rated = rated.join(F.broadcast(sides), "term", "left")  # a row per term of the templates
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
-    names = [row["license"] for row in templates.select("license").distinct().orderBy("license").collect()]
-    share = lambda name: F.coalesce(F.get(F.filter("sides", lambda s: s["license"] == name), F.lit(0))["share"], F.lit(0.0))
-    dots = [F.sum(F.col("weight") * share(name)).alias(f"dot_{at}") for at, name in enumerate(names)]
+    dots = [F.sum(F.col("weight") * F.coalesce(F.get("shares", F.lit(at)), F.lit(0.0))).alias(f"dot_{at}") for at in range(len(names))]
     scored = rated.groupBy("line").agg(norm.alias("norm"), *dots)
     best = F.array_max(F.array(*[F.struct((F.col(f"dot_{at}") / F.col("norm")).alias("score"), F.lit(-at).alias("at")) for at in range(len(names))]))
     found = scored.select("line", best.alias("best")).where("best.score > 0")
@@ -82,7 +168,8 @@ def scan_licenses(
     """Per row of ``files``: ``file_id``, ``row`` (its number in the input), ``own`` (license its headers
     state), ``score`` (their best cosine), ``license`` (own or inherited) and ``inherited_from``.
 
-    ``templates`` is a small table of ``license`` and ``template``, broadcast by its terms. NULL and
+    ``templates`` is a small table of ``license`` and ``template`` for single lines, broadcast by its terms;
+    blocks and whole license files meet the notices and texts of its licenses. NULL and
     empty texts have no headers and inherit. A NULL path has no directories and inherits nothing. Of
     several license files in a directory, the one with the best score counts, then the first license.
     Repeated rows are files of their own.
@@ -91,15 +178,29 @@ def scan_licenses(
         F.col(file_id).alias("file_id"),
         F.monotonically_increasing_id().alias("row"),
         F.col(path).alias("path"),
+        F.col(text).cast("string").alias("text"),
         F.array_distinct(F.filter(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n"), lambda line: line.rlike(TRIGGER))).alias("lines"),
     )
-    rows = written(rows, "headers")
+    kind = dict(rows.dtypes)["file_id"]
+    schema = f"file_id {kind}, row long, path string, lines array<string>, blocks array<string>"
+    rows = written(rows.mapInArrow(_blocks(re.compile(license_file)), schema), "headers")
+    wide = rows.select("row", F.explode("blocks").alias("line"))
+    wide = wide.withColumn("key", F.concat_ws(" ", F.xxhash64("line"), F.xxhash64("line", F.lit(1))))
     each = rows.select("row", F.explode("lines").alias("line"))
     lines = written(each.groupBy("line").agg(F.count(F.lit(1)).alias("times")), "lines")
     matched = written(match_headers(lines, templates).where(F.col("score") >= threshold), "matched")
     busy = lines.where(F.col("times") * 1000 > lines.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0])
     hot = matched.join(F.broadcast(busy.select("line")), "line", "left_semi")
     stated = lookup(each, matched, "line", hot, ["license", "score"]).where("license IS NOT NULL")
+
+    once = written(wide.groupBy("key").agg(F.first("line").alias("line"), F.count(F.lit(1)).alias("times")), "blocks")
+    texts = files.sparkSession.createDataFrame(notices(), "license string, template string")
+    texts = texts.join(F.broadcast(templates.select(F.col("license").alias("of")).distinct()), F.substring_index("license", " ", 1) == F.col("of"), "left_semi")
+    best = match_headers(once, texts, damped=True).where(F.col("score") >= threshold)
+    best = written(best.withColumn("license", F.substring_index("license", " ", 1)), "matched")
+    hot = best.join(F.broadcast(hot_keys(wide, ["key"]).select(F.col("key").alias("line"))), "line", "left_semi")
+    keyed = wide.select("row", F.col("key").alias("line"))
+    stated = stated.union(lookup(keyed, best, "line", hot, ["license", "score"]).where("license IS NOT NULL").select(*stated.columns))
     order = F.struct((-F.col("score")).alias("worse"), "license")
     own = written(stated.groupBy("row").agg(F.min(order).alias("best")), "own")
 

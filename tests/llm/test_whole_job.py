@@ -1,8 +1,12 @@
 """Jobs that were once done in part: each test failed before its operator did the whole of it."""
 
+import textwrap
+
 import duckdb
 
 import corpus_pipeline
+from questlake.llm.license_scan import TEMPLATES, scan_licenses
+from questlake.llm.notices import notices
 from questlake.llm.queries import QUERIES
 from tests.llm.test_brute_force import _components
 
@@ -31,3 +35,31 @@ def test_near_dedup_stage_links_at_five_words_and_four_fifths(spark, tmp_path):
     mixed = sum(sizes[r.doc_id] for r in kept["mixing"])
     assert abs(mixed - 1.5 * sum(sizes.values())) < 0.02 * mixed
     assert sorted(r.doc_id for r in kept["sharding"]) == sorted(r.doc_id for r in kept["mixing"])
+
+
+def test_wrapped_headers_and_whole_license_files(spark):
+    """Notices wrapped at any width, as comments or plain, and license files down to what inherits from them."""
+    forms, rows, want = dict(notices()), [], {}
+    gnu = "Copyright (C) 2024 Some Body\n\n"
+    for name, form, mark, width in (
+        ("GPL-3.0", "notice", "# ", 40), ("GPL-3.0", "notice", "", 72), ("LGPL-3.0", "notice", " * ", 60), ("Apache-2.0", "notice", "// ", 50),
+        ("Apache-2.0", "notice", "", 45), ("MPL-2.0", "notice", "; ", 50), ("MIT", "text", "-- ", 60), ("BSD-3-Clause", "text", "# ", 78),
+    ):
+        body = "\n".join(mark + line for line in textwrap.wrap(gnu + forms[f"{name} {form}"], width))
+        text = "some words before\n\n" + body + "\n\nint main() { return 0; }\n" * 20
+        want[len(rows)] = name
+        rows.append((len(rows), f"src/{len(rows)}.c", text))
+    for name, form in (("MIT", "text"), ("BSD-3-Clause", "text"), ("GPL-3.0", "full"), ("Apache-2.0", "full"), ("LGPL-3.0", "full"), ("MPL-2.0", "full")):
+        at = len(rows)
+        text = gnu + "\n".join(textwrap.wrap(forms[f"{name} {form}"], 70))
+        want[at] = want[at + 1] = name
+        rows += [(at, f"{name}/LICENSE", text), (at + 1, f"{name}/a/b.c", "int x;")]
+    prose = " ".join(["the terms of this work and all that you may do with it under any license are in the hands of the reader"] * 50)
+    for path, text in (("x/LICENSE", prose), ("x/a.txt", prose.replace(" you ", "\nyou ")), ("x/b.sh", "#!/bin/sh\n# prints the license\n# and ends\n")):
+        want[len(rows)] = None
+        rows.append((len(rows), path, text))
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string").repartition(3)
+    templates = spark.createDataFrame(TEMPLATES, "license string, template string")
+    got = {r.file_id: r for r in scan_licenses(files, templates).collect()}
+    assert {k: r.license for k, r in got.items()} == want
+    assert got[9].own is None and got[9].inherited_from == "MIT"
