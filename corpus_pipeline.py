@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from questlake.llm.common import free_name, record_hash
+from questlake.llm.common import WORD, free_name, record_hash
 from questlake.llm.decontaminate import contamination
 from questlake.llm.jaccard_join import near_duplicates
 from questlake.llm.mixing import mix
@@ -47,11 +47,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near duplicates: the one with the least id."""
+    """One document of each component of near duplicates: the one with the least id. Rows without words
+    are linked with nothing: all of them stay, also those that are equal in every column."""
     tag = free_name(docs, "record_hash")
-    tagged = docs.withColumn(tag, record_hash(docs))
+    has_words = F.coalesce(F.col("text").cast("string").rlike(WORD), F.lit(False))
+    tagged = docs.where(has_words).withColumn(tag, record_hash(docs))
     kept = near_duplicates(tagged, tag=tag, size=NEAR_SIZE, percent=NEAR_PERCENT).where("kept")
-    return _decided(tagged, tag, kept, "kept").select(*docs.columns)
+    return _decided(tagged, tag, kept, "kept").select(*docs.columns).union(docs.where(~has_words))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

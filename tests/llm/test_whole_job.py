@@ -63,3 +63,11 @@ def test_wrapped_headers_and_whole_license_files(spark):
     got = {r.file_id: r for r in scan_licenses(files, templates).collect()}
     assert {k: r.license for k, r in got.items()} == want
     assert got[9].own is None and got[9].inherited_from == "MIT"
+
+
+def test_wordless_rows_that_repeat_fully_all_stay(spark):
+    text = "one two three four five six seven"
+    rows = [(None, None), (None, None), (None, None), (5, ""), (5, ""), (6, " \n\t"), (7, text), (7, text), (8, text)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.near_dedup(spark, docs, "").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([*rows[:6], (7, text)], key=str)
