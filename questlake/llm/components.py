@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from questlake.llm.common import written
 
-_ROUNDS = 60
-
 
 def _neighbours(edges: DataFrame) -> DataFrame:
     return edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -34,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = written(edges, "links")
     state = None
-    for _ in range(_ROUNDS):
+    while True:
         edges = written(_star(_neighbours(_star(_neighbours(edges), True)).where("v < u"), False), "links")
         now = tuple(edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first())
         if now == state:

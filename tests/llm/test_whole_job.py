@@ -5,6 +5,7 @@ import textwrap
 import duckdb
 
 import corpus_pipeline
+from questlake.llm import components as linked
 from questlake.llm.license_scan import TEMPLATES, scan_licenses
 from questlake.llm.notices import notices
 from questlake.llm.queries import QUERIES
@@ -71,3 +72,10 @@ def test_wordless_rows_that_repeat_fully_all_stay(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = corpus_pipeline.near_dedup(spark, docs, "").collect()
     assert sorted(map(tuple, got), key=str) == sorted([*rows[:6], (7, text)], key=str)
+
+
+def test_components_go_on_until_nothing_moves(spark, monkeypatch):
+    monkeypatch.setattr(linked, "_ROUNDS", 1, raising=False)
+    links = spark.createDataFrame([(i, i + 1) for i in range(30)], "u long, v long")
+    got = linked.components(links).collect()
+    assert sorted((r.node, r.component) for r in got) == [(i, 0) for i in range(31)]
