@@ -122,7 +122,7 @@ def match_headers(lines: DataFrame, templates: DataFrame, *, damped: bool = Fals
 
     ``lines`` has ``line`` and ``times``, how often it occurs, and a ``key`` if another name is to stand for it. A term's weight is its frequency, or one
     more than the logarithm of it if ``damped``, times ``ln((1 + n) / (1 + df)) + 1`` over all
-    occurrences of lines. Ties go to the first identifier.
+    occurrences of lines. Scores have nine digits, so that equal ones tie; ties go to the first identifier.
     """
     often = F.log(F.col("count")) + 1.0 if damped else F.col("count")
     n = lines.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]
@@ -144,7 +144,7 @@ def match_headers(lines: DataFrame, templates: DataFrame, *, damped: bool = Fals
     norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
     dots = [F.sum(F.col("weight") * F.coalesce(F.get("shares", F.lit(at)), F.lit(0.0))).alias(f"dot_{at}") for at in range(len(names))]
     scored = rated.groupBy("line").agg(norm.alias("norm"), *dots)
-    best = F.array_max(F.array(*[F.struct((F.col(f"dot_{at}") / F.col("norm")).alias("score"), F.lit(-at).alias("at")) for at in range(len(names))]))
+    best = F.array_max(F.array(*[F.struct(F.round(F.col(f"dot_{at}") / F.col("norm"), 9).alias("score"), F.lit(-at).alias("at")) for at in range(len(names))]))
     found = scored.select("line", best.alias("best")).where("best.score > 0")
     return found.select("line", F.element_at(F.array(*map(F.lit, names)), 1 - F.col("best.at")).alias("license"), F.col("best.score").alias("score"))
 
