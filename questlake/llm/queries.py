@@ -13,7 +13,9 @@ from questlake.llm.license_scan import TEMPLATES, TERM, THRESHOLD, TRIGGER, scan
 from questlake.llm.mixing import mix
 from questlake.llm.pii import KINDS, find_personal_data
 from questlake.llm.quality import fit_quality, held_out, score_quality
+from questlake.llm.quality_rules import apply_rules, fit_rules
 from questlake.llm.registry import QUERIES, query, table  # noqa: F401
+from questlake.llm.resample import resample
 from questlake.llm.sharding import read_shards, shuffle_to_files
 from questlake.llm.substring_dedup import remove_repeats
 from questlake.llm.url_filter import judge_captures, url_keys
@@ -232,3 +234,40 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     templates = spark.createDataFrame(TEMPLATES, "license string, template string")
     scanned = scan_licenses(files, templates)
     return scanned.select(F.col("file_id").alias("doc_id"), F.col("own").alias("own_license"), F.round("score", 6).alias("score"), "license", "inherited_from")
+
+
+@query("op13_quality_rules")
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels")))
+
+
+#: CRC-32 by a table of 256 entries over the bytes of a text's hexadecimal form.
+_CRC_SQL = """t AS (SELECT list_transform(range(256), lambda k: list_reduce(list_prepend(k, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crcs),
+  b AS (SELECT f, list_transform(range(1, len(x), 2), lambda i: strpos('0123456789ABCDEF', x[i]) * 16 + strpos('0123456789ABCDEF', x[i + 1]) - 17) AS bytes
+        FROM (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM g))),
+  k AS (SELECT f, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, v: xor(c >> 8, crcs[(xor(c, v) & 255) + 1])), 4294967295) % 10000 AS bucket FROM b, t)"""
+
+
+@query(
+    "op11_resample",
+    rf"""WITH w AS (SELECT 'd' AS part, doc_id AS id, {_PLAIN_WORDS} AS w FROM documents UNION ALL SELECT 'b', item_id, {_PLAIN_WORDS} FROM benchmark),
+  g AS (SELECT part, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM w),
+  {_CRC_SQL},
+  n AS (SELECT part, id, bucket, count(*) AS n FROM g JOIN k USING (f) GROUP BY ALL),
+  s AS (SELECT bucket, sum(n) FILTER (part = 'd') AS s, sum(n) FILTER (part = 'b') AS t FROM n GROUP BY 1),
+  a AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM s),
+  gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (all_s + 10000)::DOUBLE
+             / ((coalesce(s, 0) + 1.0::DOUBLE) * (all_t + 10000)::DOUBLE))) AS BIGINT) AS gain FROM s, a),
+  o AS (SELECT id AS doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS total FROM n JOIN gain USING (bucket) WHERE part = 'd' GROUP BY 1),
+  r AS (SELECT id AS doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+          CASE WHEN n_features IS NULL THEN 0 ELSE (total - ((total % n_features) + n_features) % n_features) // n_features END AS weight,
+          CAST('0x' || substr(sha256('7:' || id), 1, 8) AS BIGINT) AS h FROM w LEFT JOIN o ON id = doc_id WHERE part = 'd'),
+  v AS (SELECT doc_id, n_words, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM r),
+  x AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS able FROM v WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * able // 100 THEN rank END AS rank FROM v LEFT JOIN x USING (doc_id)""",
+)
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
