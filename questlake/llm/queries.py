@@ -11,6 +11,7 @@ from questlake.llm.exact_dedup import exact_dedup
 from questlake.llm.jaccard_join import near_duplicates
 from questlake.llm.license_scan import TEMPLATES, TERM, THRESHOLD, TRIGGER, scan_licenses
 from questlake.llm.mixing import mix
+from questlake.llm.phrases import collocations
 from questlake.llm.pii import KINDS, find_personal_data
 from questlake.llm.quality import fit_quality, held_out, score_quality
 from questlake.llm.quality_rules import apply_rules, fit_rules
@@ -271,3 +272,26 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 25 * able // 100 THE
 def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query(
+    "op12_phrases",
+    r"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+  n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+  s AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m),
+  f AS (SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS phrase, any_value(w[i : i + m - 1]) AS words, count(*) AS f FROM s GROUP BY 1, 2 HAVING count(*) >= 30),
+  k AS (SELECT lang, phrase, words, f AS a, unnest(range(1, len(words))) AS k FROM f WHERE len(words) > 1),
+  c AS (SELECT k.lang, k.phrase, a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score FROM k
+        JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(k.words[:k], ' ')
+        JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(k.words[k + 1 :], ' ')),
+  b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+  subs AS (SELECT lang, f, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM f, (SELECT unnest([2, 3]) AS m) WHERE len(words) > m),
+  around AS (SELECT lang, array_to_string(words[i : i + m - 1], ' ') AS phrase, max(f) AS longer FROM subs GROUP BY 1, 2),
+  kept AS (SELECT b.* FROM b LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))

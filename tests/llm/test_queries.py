@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 def test_all_are_registered():
     found = contract.queries()
     assert {"pipeline", *QUERIES} <= set(found) and queries
-    assert [sum(n.startswith(f"op{k}_") for n in found) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in found) for k in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
