@@ -1,18 +1,22 @@
 """Phrase collocations, from counts in HAT-tries.
 
-A task counts the phrases that start at every word of its texts in a burst trie: a shallow trie of word ids
-whose leaves are hash containers of the words that follow. A container that grows too large bursts into
-children by the next word. When the trie is full, whole subtrees are written as sorted runs, and the runs of a
-prefix are merged in one task. A prefix with very many phrases is split by its next word instead, over all tasks,
-until what is left of it fits: the global trie bursts where it is hot, just as a task's trie does.
+A task counts the windows of words that start at every word of its texts in a burst trie: a shallow trie of
+word ids over hash containers. A container holds the windows of many first words; one that grows too large
+bursts into children, by the first word and then by the second. When the trie is full, whole subtrees are
+written as sorted runs, cut into slices of the space of two-word prefixes. The runs of a slice are merged in one
+task, which keeps a prefix only if it is frequent. A slice that holds too many windows is first split, by another
+hash of the prefix, and one that a single prefix fills by a hash of the whole window, whose prefixes are then
+summed over tasks.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from heapq import merge
 from itertools import groupby
 from operator import itemgetter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -22,18 +26,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from questlake.llm.common import hot_keys, lookup, texts_of, written
+from questlake.llm.shingles import mixed
 
 #: Fixed by the contract: longest phrase, least frequency, phrases per language, share of a longer phrase.
 LONGEST, LEAST, TOP, INSIDE = 4, 30, 2000, 80
 UNKNOWN = "und"
-#: A container bursts beyond so many phrases; a task writes subtrees beyond so many in all, or so many words.
-BURST, FULL, MOST_WORDS = 8192, 1 << 20, 1 << 20
-#: A prefix is split over tasks if it holds more phrases than this and more than this share of all.
-SPLIT_PHRASES, SPLIT_SHARE = 200_000, 1 << 20
+#: A container bursts beyond so many windows; a task writes subtrees beyond so many in all, or so many words.
+BURST, FULL, MOST_WORDS = 8192, 1 << 18, 1 << 20
+#: Bytes of text that a slice is planned for, the most slices, and the windows beyond which a slice is split:
+#: so many or, if that is more, one in ``SPLIT_SHARE`` of all. Results do not depend on them.
+SLICE_BYTES, MOST_SLICES, SPLIT_WINDOWS, SPLIT_SHARE = 2 << 20, 1 << 14, 1 << 20, 1 << 20
 #: Words that wait to be counted, and bytes of a text that are split at a time, up to the end of a piece.
 _BATCH, _CHUNK = 1 << 18, 1 << 20
 _BITS = 21  # of a word's id
 _LOW = (1 << _BITS) - 1
+#: What the children of a trie's levels share: the upper bits of the first word's id, that id, both first ids.
+_SHIFTS = (_BITS + 8, _BITS, 0)
 # Separates words in a run. The byte itself may be part of a word and is there 0xFF, which UTF-8 does not use.
 _NUL, _FREE, _END = b"\x00", b"\xff", b"\n"
 
@@ -61,78 +69,106 @@ class _Ids(dict):
         return n
 
 
+def _keys(windows: np.ndarray) -> list[bytes]:
+    """The containers' keys of windows of four ids: the first two and the last two, packed into 8 bytes each."""
+    packed = np.stack([windows[:, 0] << _BITS | windows[:, 1], windows[:, 2] << _BITS | windows[:, 3]], axis=1)
+    return np.ascontiguousarray(packed.astype(">i8")).view("V16").ravel().tolist()
+
+
+def _windows(keys: Sequence[bytes]) -> np.ndarray:
+    packed = np.frombuffer(b"".join(keys), ">i8").astype(np.int64).reshape(-1, 2)
+    return np.stack([packed[:, 0] >> _BITS, packed[:, 0] & _LOW, packed[:, 1] >> _BITS, packed[:, 1] & _LOW], axis=1)
+
+
 class HatTrie:
-    """Counts of sequences of word ids, packed ``_BITS`` each. ``children`` of a node leads from a word's id to
-    a container (a Counter of what follows it, packed) or, where that has burst, to a node of its own."""
-
-    def __init__(self, shift: int):
-        self.shift, self.children = shift, {}
-
-    def add(self, values: np.ndarray, times: list[int] | None = None) -> int:
-        """Count sorted packed sequences, once each or ``times``; returns how many new ones there are."""
-        heads = values >> self.shift
-        cuts = [0, *(np.flatnonzero(heads[1:] != heads[:-1]) + 1).tolist(), len(values)]
-        rests, new = values & ((1 << self.shift) - 1), 0
-        for head, start, end in zip(heads[cuts[:-1]].tolist(), cuts[:-1], cuts[1:], strict=True):
+    """Counts of windows. ``children`` leads from an id, or the upper bits of one, to a container (a Counter of
+    windows) or, where that has burst, to a node one level below."""
+
+    def __init__(self, level: int = 0):
+        self.level, self.children = level, {}
+
+    def add(self, windows: np.ndarray, times: np.ndarray | None = None) -> int:
+        """Count windows, once each or ``times``; returns how many new ones there are."""
+        first = windows[:, 0] << _BITS | windows[:, 1]
+        order = np.argsort(first, kind="stable")
+        return self._add(first[order], _keys(windows[order]), None if times is None else times[order].tolist())
+
+    def _add(self, first: np.ndarray, keys: list[bytes], times: list[int] | None) -> int:
+        heads, new = first >> _SHIFTS[self.level], 0
+        cuts = [0, *(np.flatnonzero(heads[1:] != heads[:-1]) + 1).tolist()] if len(heads) else []
+        for head, start, end in zip(heads[cuts].tolist(), cuts, [*cuts[1:], len(heads)], strict=False):
             child = self.children.get(head)
             if child is None:
                 child = self.children[head] = Counter()
             if isinstance(child, HatTrie):
-                new += child.add(rests[start:end], times and times[start:end])
+                new += child._add(first[start:end], keys[start:end], times and times[start:end])
                 continue
             before = len(child)
-            if times is None:
-                child.update(rests[start:end].tolist())
-            else:
-                child.update(dict(zip(rests[start:end].tolist(), times[start:end], strict=True)))
+            child.update(keys[start:end] if times is None else dict(zip(keys[start:end], times[start:end], strict=True)))
             new += len(child) - before
-            if len(child) > BURST and self.shift:
-                self.children[head] = burst(child, self.shift - _BITS)
+            if len(child) > BURST and self.level + 1 < len(_SHIFTS):
+                self.children[head] = node = HatTrie(self.level + 1)
+                node.add(_windows(list(child)), np.fromiter(child.values(), np.int64))
         return new
 
-    def items(self, above: int = 0) -> Iterator[tuple[int, int]]:
-        for head, child in self.children.items():
-            prefix = above | head << self.shift
+    def containers(self) -> Iterator[Counter]:
+        for child in self.children.values():
             if isinstance(child, HatTrie):
-                yield from child.items(prefix)
+                yield from child.containers()
             else:
-                yield from ((prefix | rest, n) for rest, n in child.items())
+                yield child
 
 
-def burst(container: Counter, shift: int) -> HatTrie:
-    node = HatTrie(shift)
-    found = sorted(container.items())
-    node.add(np.array([k for k, _ in found], np.int64), [n for _, n in found])
-    return node
+_RUN_SCHEMA = "lang string, slice long, n long, words long, run binary"
+_RUN = pa.schema([("lang", pa.string()), ("slice", pa.int64()), ("n", pa.int64()), ("words", pa.int64()), ("run", pa.binary())])
 
 
-def _packed(keys: bytes, counts: np.ndarray) -> bytes:
-    """A run: its counts, then its phrases, each ended by a line feed."""
-    plain = len(counts).to_bytes(4, "little") + counts.astype("<i8").tobytes() + keys
-    return b"\x01" + zstandard.compress(plain, 1) if len(plain) > 200 else b"\x00" + plain
+def _packed(heads: bytes, sizes: np.ndarray, rests: bytes, times: np.ndarray) -> bytes:
+    """A run: for each head the number of its windows, the windows' counts, the heads, and what follows them."""
+    lengths = np.array([len(sizes), len(times), len(heads)], "<i8").tobytes()
+    return zstandard.compress(lengths + sizes.astype("<i8").tobytes() + times.astype("<i8").tobytes() + heads + rests, 1)
 
 
-def _unpacked(run: bytes) -> tuple[list[bytes], np.ndarray]:
-    plain = zstandard.decompress(run[1:]) if run[0] else run[1:]
-    n = int.from_bytes(plain[:4], "little")
-    return plain[4 + 8 * n :].split(_END)[:-1], np.frombuffer(plain, "<i8", n, 4)
+def _unpacked(run: bytes) -> tuple[bytes, np.ndarray, np.ndarray, bytes]:
+    plain = zstandard.decompress(run)
+    n_heads, n, length = np.frombuffer(plain, "<i8", 3).tolist()
+    at = 24 + 8 * (n_heads + n)
+    sizes, times = np.frombuffer(plain, "<i8", n_heads, 24), np.frombuffer(plain, "<i8", n, 24 + 8 * n_heads)
+    return plain[at : at + length], sizes, times, plain[at + length :]
 
 
-_RUN_SCHEMA = "lang string, head binary, n long, run binary"
+class _Vocabulary:
+    """The words behind the ids of a task: their order, their CRCs and their bytes."""
+
+    def __init__(self, ids: _Ids):
+        words = list(ids)
+        words[0] = b""
+        self.rank = np.empty(len(words), np.int64)
+        self.rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+        self.crcs = np.fromiter(map(crc32, words), np.uint64)
+        self.plain = pa.array(words, pa.large_binary())
+        self.after = pa.array([b"", *(_NUL + w for w in words[1:])], pa.large_binary())
+
+    def texts(self, first: np.ndarray, second: np.ndarray) -> tuple[memoryview, np.ndarray]:
+        """Both words and a line feed, one row after the other, and where each row starts."""
+        empty, end = pa.scalar(b"", pa.large_binary()), pa.scalar(_END, pa.large_binary())
+        joined = pc.binary_join_element_wise(self.plain.take(pa.array(first)), self.after.take(pa.array(second)), end, empty)
+        return memoryview(joined.buffers()[2]), np.frombuffer(joined.buffers()[1], np.int64)[: len(joined) + 1]
 
 
 class _Task:
     """The tries of one task, by language, and the runs that they leave."""
 
-    def __init__(self, longest: int, full: int):
-        self.longest, self.full = longest, full
+    def __init__(self, longest: int, full: int, slices: int):
+        self.longest, self.full, self.slices = longest, full, slices
         self._reset()
 
     def _reset(self) -> None:
         self.ids = _Ids({_END: 0})
-        self.tries: dict[str, dict[int, Counter | HatTrie]] = {}
+        self.tries: dict[str, HatTrie] = {}
+        self.words: dict[str, np.ndarray] = {}
         self.waiting: dict[str, list[int]] = {}
-        self.n_waiting = self.n_phrases = 0
+        self.n_waiting = self.n_windows = 0
 
     def read(self, lang: str, text: bytes) -> Iterator[pa.RecordBatch]:
         text = text.translate(_TABLE)
@@ -151,100 +187,91 @@ class _Task:
 
     def count(self) -> Iterator[pa.RecordBatch]:
         """Put what waits into the tries; write subtrees if they are full."""
-        shift = _BITS * (self.longest - 2)
         for lang, waiting in self.waiting.items():
-            ids = np.array(waiting + [0] * self.longest, np.int64)
             size = len(waiting)
-            last, rest = ids[:size], np.zeros(size, np.int64)
-            for k in range(1, self.longest):
-                last = np.where(last > 0, ids[k : k + size], 0)
-                rest = rest << _BITS | last
-            starts = np.flatnonzero(ids[:size])
-            head, rest = ids[:size][starts], rest[starts]
-            order = np.lexsort((rest, head))
-            head, rest = head[order], rest[order]
-            cuts = [0, *(np.flatnonzero(head[1:] != head[:-1]) + 1).tolist(), len(head)] if len(head) else [0]
-            trie = self.tries.setdefault(lang, {})
-            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
-                word = int(head[start])
-                child = trie.get(word)
-                if child is None:
-                    child = trie[word] = Counter()
-                if isinstance(child, HatTrie):
-                    self.n_phrases += child.add(rest[start:end])
-                    continue
-                before = len(child)
-                child.update(rest[start:end].tolist())
-                self.n_phrases += len(child) - before
-                if len(child) > BURST and self.longest > 1:
-                    trie[word] = burst(child, shift)
+            ids = np.array(waiting + [0] * LONGEST, np.int64)
+            columns = [ids[:size]]
+            for k in range(1, LONGEST):
+                columns.append(np.where(columns[-1] > 0, ids[k : k + size], 0) if k < self.longest else np.zeros(size, np.int64))
+            windows = np.stack(columns, axis=1)
+            self.n_windows += self.tries.setdefault(lang, HatTrie()).add(windows[(columns[0] > 0) & (columns[1] > 0)])
+            counts = np.bincount(columns[0], minlength=len(self.ids))
+            known = self.words.get(lang, np.zeros(0, np.int64))
+            counts[: len(known)] += known
+            counts[0] = 0
+            self.words[lang] = counts
         self.waiting, self.n_waiting = {}, 0
         if len(self.ids) > MOST_WORDS:
-            yield from self.spill(0)
-            self._reset()
-        elif self.n_phrases > self.full:
-            yield from self.spill(self.full // 2)
+            yield from self.finish()
+        elif self.n_windows > self.full:
+            yield from self.spill(self.full // 8)
+
+    def finish(self) -> Iterator[pa.RecordBatch]:
+        yield from self.spill(0)
+        known = _Vocabulary(self.ids)
+        for lang, counts in self.words.items():
+            some = np.flatnonzero(counts)
+            if len(some):
+                zero = np.zeros(len(some), np.int64)
+                yield self.runs(lang, np.stack([some, zero, zero, zero], axis=1), counts[some], known, single=True)
+        self._reset()
 
     def spill(self, leave: int) -> Iterator[pa.RecordBatch]:
-        """Write whole subtrees, the largest first, until at most ``leave`` phrases stay."""
-        subtrees = [(sum(1 for _ in c.items()) if isinstance(c, HatTrie) else len(c), lang, word) for lang, t in self.tries.items() for word, c in t.items()]
-        subtrees.sort(key=itemgetter(0), reverse=True)
-        chosen, n = [], 0
-        for size, lang, word in subtrees:
-            if self.n_phrases <= leave:
+        """Write whole subtrees, the largest first, until at most ``leave`` windows stay."""
+        sizes = [
+            (sum(map(len, c.containers())) if isinstance(c, HatTrie) else len(c), lang, head) for lang, t in self.tries.items() for head, c in t.children.items()
+        ]
+        sizes.sort(reverse=True)
+        chosen: dict[str, list[Counter]] = {}
+        for size, lang, head in sizes:
+            if self.n_windows <= leave:
                 break
-            self.n_phrases -= size
-            n += size
-            chosen.append((lang, word, self.tries[lang].pop(word)))
-            if n > self.full // 4:
-                yield self.runs(chosen)
-                chosen, n = [], 0
-        if chosen:
-            yield self.runs(chosen)
-
-    def runs(self, subtrees: list[tuple[str, int, Counter | HatTrie]]) -> pa.RecordBatch:
-        """One row per subtree, its phrases in order of their words' bytes."""
-        words = list(self.ids)
-        words[0] = b""
-        rank = np.empty(len(words), np.int64)
-        rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
-        which, rest, times = [], [], []
-        for at, (_, _, child) in enumerate(subtrees):
-            items = list(child.items())
-            which.append(np.full(len(items), at))
-            rest.append(np.array([k for k, _ in items], np.int64))
-            times.append(np.array([n for _, n in items], np.int64))
-        which, rest, times = (np.concatenate(x) for x in (which, rest, times))
-        parts = [rest >> _BITS * k & _LOW for k in range(self.longest - 2, -1, -1)]
-        order = np.lexsort([*(rank[p] for p in reversed(parts)), which])
-        which, times = which[order], times[order]
-        plain = pa.array(words, pa.large_binary())
-        joined = pa.array([b"", *(_NUL + w for w in words[1:])], pa.large_binary())
-        pieces = [(joined if k else plain).take(pa.array(p[order])) for k, p in enumerate(parts)]
-        ends = pa.scalar(_END, pa.large_binary())
-        keys = pc.binary_join_element_wise(*pieces, ends, pa.scalar(b"", pa.large_binary())) if pieces else pa.array([_END] * len(order), pa.large_binary())
-        offsets = np.frombuffer(keys.buffers()[1], np.int64)[keys.offset : keys.offset + len(keys) + 1]
-        data = memoryview(keys.buffers()[2]) if len(keys) else memoryview(b"")
-        edges = np.searchsorted(which, np.arange(len(subtrees) + 1))
-        rows: dict[str, list] = {"lang": [], "head": [], "n": [], "run": []}
-        for at, (lang, word, _) in enumerate(subtrees):
-            start, end = edges[at], edges[at + 1]
-            rows["lang"].append(lang)
-            rows["head"].append(words[word])
-            rows["n"].append(int(times[start:end].sum()))
-            rows["run"].append(_packed(bytes(data[offsets[start] : offsets[end]]), times[start:end]))
-        return pa.RecordBatch.from_pydict(rows, pa.schema([("lang", pa.string()), ("head", pa.binary()), ("n", pa.int64()), ("run", pa.binary())]))
-
-
-def _count(longest: int, full: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+            self.n_windows -= size
+            child = self.tries[lang].children.pop(head)
+            chosen.setdefault(lang, []).extend(child.containers() if isinstance(child, HatTrie) else [child])
+        known = _Vocabulary(self.ids) if chosen else None
+        for lang, containers in chosen.items():
+            keys = [k for c in containers for k in c]
+            if keys:
+                yield self.runs(lang, _windows(keys), np.concatenate([np.fromiter(c.values(), np.int64) for c in containers]), known)
+
+    def runs(self, lang: str, windows: np.ndarray, times: np.ndarray, known: _Vocabulary, single: bool = False) -> pa.RecordBatch:
+        """One row per slice, its windows in order of their words' bytes; with ``single`` they are words."""
+        first = known.crcs[windows[:, 0]] << np.uint64(32) | known.crcs[windows[:, 1]]
+        of_slice = (mixed(first) % np.uint64(self.slices)).astype(np.int64)
+        ranked = known.rank[windows]
+        order = np.lexsort((ranked[:, 1] << 2 * _BITS | ranked[:, 2] << _BITS | ranked[:, 3], of_slice << _BITS | ranked[:, 0]))
+        windows, times, of_slice = windows[order], times[order], of_slice[order]
+        changes = np.any(windows[1:, :2] != windows[:-1, :2], axis=1) | (of_slice[1:] != of_slice[:-1])
+        heads = np.r_[0, np.flatnonzero(changes) + 1]
+        head_text, head_at = known.texts(windows[heads, 0], windows[heads, 1])
+        rest_text, rest_at = known.texts(windows[:, 2], windows[:, 3])
+        edges = np.r_[heads, len(times)]
+        cuts = np.r_[0, np.flatnonzero(of_slice[heads][1:] != of_slice[heads][:-1]) + 1, len(heads)].tolist()
+        rows = []
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            start, end = int(edges[low]), int(edges[high])
+            n = int(times[start:end].sum())
+            run = _packed(
+                bytes(head_text[head_at[low] : head_at[high]]), np.diff(edges[low : high + 1]), bytes(rest_text[rest_at[start] : rest_at[end]]), times[start:end]
+            )
+            rows.append((lang, int(of_slice[start]), 0 if single else n, n if single else 0, run))
+        return _batch(rows, _RUN)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
+
+
+def _count(longest: int, full: int, slices: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = _Task(longest, full)
+        task = _Task(longest, full, slices)
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), texts_of(batch.column("text")), strict=True):
                 if text:
                     yield from task.read(lang, text)
         yield from task.count()
-        yield from task.spill(0)
+        yield from task.finish()
 
     return run
 
@@ -253,68 +280,88 @@ def _heads(key: bytes) -> bytes:
     return key.partition(_NUL)[0]
 
 
-def _merged(entries: list[tuple[bytes, int]], prefix: bytes, least: int) -> Iterator[tuple[bytes, int]]:
-    """Phrases that go on from ``prefix`` with at least ``least`` counts, from sorted ``(rest, count)``."""
+def _merged(entries: list[tuple[bytes, int]], prefix: bytes, least: Sequence[int]) -> Iterator[tuple[bytes, int]]:
+    """Phrases that go on from ``prefix``, from sorted ``(rest, count)``; ``least`` counts by depth."""
     for word, group in groupby(entries, lambda e: _heads(e[0])):
-        if not word:
-            continue
         found = list(group)
         n = sum(c for _, c in found)
-        if n >= least:
+        if n >= least[0]:
             phrase = prefix + _NUL + word
             yield phrase, n
-            yield from _merged([(k[len(word) + 1 :], c) for k, c in found if len(k) > len(word)], phrase, least)
-
-
-def _merge(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Merges the runs of one prefix after the other; rows come sorted by language and prefix."""
-
-    def counts(lang: str, head: bytes, n: int, runs: list[bytes]) -> list[tuple[str, bytes, int]]:
-        if n < least:
-            return []
-        entries: list[tuple[bytes, int]] = []
-        for run in runs:
-            keys, times = _unpacked(run)
-            entries.extend(zip(keys, times.tolist(), strict=True))
-        entries.sort(key=itemgetter(0))  # finds the runs and merges them
-        return [(lang, head, n), *((lang, phrase, c) for phrase, c in _merged(entries, head, least))]
+            yield from _merged([(k[len(word) + 1 :], c) for k, c in found if len(k) > len(word)], phrase, least[1:])
+
+
+def _phrases(runs: list[bytes], least: Sequence[int]) -> Iterator[tuple[bytes, int]]:
+    """Merge the runs of a slice. Heads are summed first; only what follows frequent ones is merged."""
+    opened = [_unpacked(run) for run in runs]
+    text = b"".join(heads for heads, _, _, _ in opened)
+    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == _END[0]) + 1
+    heads = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.r_[0, ends]), pa.py_buffer(text)])
+    sums = np.concatenate([np.add.reduceat(times, np.cumsum(sizes) - sizes) for _, sizes, times, _ in opened])
+    totals = pa.table({"head": heads, "n": pa.array(sums)}).group_by("head").aggregate([("n", "sum")])
+    totals = totals.filter(pc.greater_equal(totals["n_sum"], min(least)))
+    frequent = []
+    for line, n in zip(totals["head"].to_pylist(), totals["n_sum"].to_pylist(), strict=True):
+        if n >= least[0 if _NUL in line else -1]:
+            yield line[:-1], n
+            frequent += [line] if _NUL in line else []
+    wanted = pc.is_in(heads, value_set=pa.array(frequent, pa.large_binary())).to_numpy(zero_copy_only=False)
+    followed, start = [], 0
+    for text, sizes, times, rest in opened:
+        mine = np.flatnonzero(wanted[start : start + len(sizes)]).tolist()
+        start += len(sizes)
+        if mine:
+            lines, rests, to = text.split(_END), rest.split(_END), np.cumsum(sizes).tolist()
+            places = ((lines[i], j) for i in mine for j in range(to[i] - int(sizes[i]), to[i]))
+            followed.append([(head, rests[j], int(times[j])) for head, j in places if rests[j]])
+    for head, group in groupby(merge(*followed), itemgetter(0)):
+        yield from _merged([(rest, n) for _, rest, n in group], head, least[1:])
+
+
+def _merge(least: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Merges one slice after the other; rows come sorted by language and slice. ``least`` are the counts that
+    phrases of two, three and four words need; single words are held to the last."""
+    schema = pa.schema([("lang", pa.string()), ("head", pa.binary()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("lang", pa.string()), ("head", pa.binary()), ("n", pa.int64())])
-        key, n, runs, found = None, 0, [], []
+        key, runs = None, []
         for batch in batches:
-            for lang, head, times, packed in zip(*(batch.column(c).to_pylist() for c in ("lang", "head", "n", "run")), strict=True):
-                if (lang, head) != key:
-                    found.extend(counts(*key, n, runs) if key else [])
-                    key, n, runs = (lang, head), 0, []
-                n += times
+            for lang, of_slice, packed in zip(*(batch.column(c).to_pylist() for c in ("lang", "slice", "run")), strict=True):
+                if (lang, of_slice) != key:
+                    if runs:
+                        yield _batch([(key[0], *found) for found in _phrases(runs, least)], schema)
+                    key, runs = (lang, of_slice), []
                 runs.append(packed)
-            if len(found) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
-                found = []
-        found.extend(counts(*key, n, runs) if key else [])
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*found, strict=True), schema.types, strict=True)], schema=schema)
+        if runs:
+            yield _batch([(key[0], *found) for found in _phrases(runs, least)], schema)
 
     return run
 
 
-def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each run as one run per next word; a phrase that ends at its prefix has none."""
-    for batch in batches:
-        for lang, head, packed in zip(*(batch.column(c).to_pylist() for c in ("lang", "head", "run")), strict=True):
-            keys, times = _unpacked(packed)
-            rows: dict[str, list] = {"lang": [], "head": [], "n": [], "run": []}
-            at = 0
-            for word, group in groupby(keys, _heads):
-                rests = [k[len(word) + 1 :] for k in group]
-                of_word, at = times[at : at + len(rests)], at + len(rests)
-                if word:
-                    rows["lang"].append(lang)
-                    rows["head"].append(head + _NUL + word)
-                    rows["n"].append(int(of_word.sum()))
-                    rows["run"].append(_packed(b"".join(r + _END for r in rests), of_word))
-            yield pa.RecordBatch.from_pydict(rows, pa.schema([("lang", pa.string()), ("head", pa.binary()), ("n", pa.int64()), ("run", pa.binary())]))
+def _split(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Each run as ``pieces`` runs, by a hash of its heads or of ``whole`` windows; all are sorted as before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for lang, of_slice, pieces, words, packed in zip(*(batch.column(c).to_pylist() for c in ("lang", "slice", "pieces", "words", "run")), strict=True):
+                text, sizes, times, rest = _unpacked(packed)
+                heads, rests = text.split(_END)[:-1], rest.split(_END)[:-1]
+                of_head = np.repeat(np.arange(len(heads)), sizes)
+                if whole:
+                    hashes = np.fromiter((crc32(r, crc32(heads[h])) for h, r in zip(of_head.tolist(), rests, strict=True)), np.uint64, len(rests))
+                else:
+                    hashes = np.fromiter(map(crc32, heads), np.uint64, len(heads))[of_head]
+                to = mixed(hashes ^ mixed(np.full(1, of_slice, np.int64).view(np.uint64))) % np.uint64(pieces)
+                for piece in np.unique(to).tolist():
+                    at = np.flatnonzero(to == piece)
+                    own, of_own = np.unique(of_head[at], return_counts=True)
+                    n = int(times[at].sum())
+                    run = _packed(b"".join(heads[h] + _END for h in own.tolist()), of_own, b"".join(rests[i] + _END for i in at.tolist()), times[at])
+                    rows.append((lang, of_slice << 20 | piece, 0 if words else n, words and n, run))
+            yield _batch(rows, _RUN)
+
+    return run
 
 
 def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,35 +378,39 @@ def phrase_counts(
     least: int = LEAST,
     longest: int = LONGEST,
     full: int = FULL,
-    split_phrases: int = SPLIT_PHRASES,
+    slice_bytes: int = SLICE_BYTES,
+    split_windows: int = SPLIT_WINDOWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(lang, phrase, n)`` of every phrase of one to ``longest`` words that occurs ``least`` times or more, and
-    ``(lang, n)``, the number of all words.
+    """``(lang, phrase, n)`` of every phrase of one to ``longest`` words (two to four) that occurs ``least`` times
+    or more, and ``(lang, n)``, the number of all words.
 
     A-Z are lower-cased; ``.,;:!?`` and line ends cut a text into pieces, spaces and tabs those into words. NULL
     and empty texts have no words; a NULL language is ``und``. Counts are exact, and rows that repeat count again.
-    A task holds ``full`` phrases and as many words; a prefix that is merged in one task has at most
-    ``split_phrases`` or, if that is more, one in ``SPLIT_SHARE`` of all, so at most ``SPLIT_SHARE`` prefixes
-    are broadcast to be split.
+    A task holds ``full`` windows and as many words, and merges ``split_windows`` windows at a time or, if that is
+    more, one in ``SPLIT_SHARE`` of all; so at most ``SPLIT_SHARE`` slices are broadcast to be split.
     """
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).cast("string").alias("text"))
-    runs = written(rows.mapInArrow(_count(longest, full), _RUN_SCHEMA), "runs")
-    words = runs.groupBy("lang").agg(F.sum("n").alias("n"))
-    total = runs.agg(F.sum("n")).first()[0] or 0
-    found = []
-    for depth in range(1, longest + 1):
-        sums = runs.groupBy("lang", "head").agg(F.sum("n").alias("n"))
-        if depth == longest:
-            found.append(sums.where(F.col("n") >= least))
-            break
-        hot = written(sums.where(F.col("n") > max(split_phrases, total // SPLIT_SHARE)), "prefixes")
-        keys = F.broadcast(hot.select("lang", "head"))
-        cold = runs.join(keys, ["lang", "head"], "left_anti").select("lang", "head", "n", "run")
-        cold = cold.repartition("lang", "head").sortWithinPartitions("lang", "head")
-        found += [cold.mapInArrow(_merge(least), "lang string, head binary, n long"), hot.where(F.col("n") >= least)]
-        if not hot.take(1):
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    slices = min(MOST_SLICES, max(1, -(-size // slice_bytes)))
+    runs = written(rows.mapInArrow(_count(longest, full, slices), _RUN_SCHEMA), "runs")
+    total, words = runs.agg(F.sum("n")).first()[0] or 0, runs.groupBy("lang").agg(F.sum("words").alias("n"))
+    limit = max(split_windows, total // SPLIT_SHARE)
+    schema, found = "lang string, head binary, n long", []
+    for whole in (False, True, None):
+        large = runs.groupBy("lang", "slice").agg(F.sum("n").alias("n")).where(F.col("n") > limit)
+        large = large.select("lang", "slice", F.least(F.ceil(F.col("n") / limit), F.lit(1 << 20)).alias("pieces"))
+        more = whole is not None and bool(large.take(1))
+        fits = runs.join(F.broadcast(large), ["lang", "slice"], "left_anti") if more else runs
+        fits = fits.select("lang", "slice", "run").repartition("lang", "slice").sortWithinPartitions("lang", "slice")
+        if whole is None:
+            # Windows of one prefix are in several pieces here: what is shorter than a window is summed first.
+            parts = fits.mapInArrow(_merge([1, 1, least]), schema)
+            found.append(parts.groupBy("lang", "head").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+        else:
+            found.append(fits.mapInArrow(_merge([least] * 3), schema))
+        if not more:
             break
-        runs = written(runs.join(keys, ["lang", "head"], "left_semi").select("lang", "head", "run").mapInArrow(_split, _RUN_SCHEMA), "runs")
+        runs = written(runs.join(F.broadcast(large), ["lang", "slice"]).mapInArrow(_split(whole), _RUN_SCHEMA), "runs")
     counts = found[0]
     for part in found[1:]:
         counts = counts.unionByName(part)

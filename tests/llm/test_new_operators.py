@@ -105,17 +105,19 @@ def random_docs(seed, n=400):
     return [(draw.choice(["en", "en", "de", "", None]), draw.choice([None, "", text(), text(), text()])) for _ in range(n)]
 
 
-@pytest.mark.parametrize(("limits", "burst", "words"), [({}, 8192, 1 << 20), ({"full": 50, "split_phrases": 60}, 4, 1 << 20), ({"full": 200, "split_phrases": 3}, 8, 6)])
+SMALL = {"full": 50, "slice_bytes": 900, "split_windows": 60}
+
+
+@pytest.mark.parametrize(("limits", "burst", "words"), [({}, 8192, 1 << 20), (SMALL, 4, 1 << 20), ({"full": 200, "split_windows": 3}, 8, 6)])
 def test_phrase_counts(spark, monkeypatch, limits, burst, words):
-    """Also with containers that burst, tries that spill, vocabularies that start anew and prefixes split to the end."""
+    """Also with containers that burst, tries that spill, vocabularies that start anew and slices split to the end."""
     monkeypatch.setattr(phrases, "BURST", burst)
     monkeypatch.setattr(phrases, "MOST_WORDS", words)
     monkeypatch.setattr(phrases, "_BATCH", 100)
     monkeypatch.setattr(phrases, "_CHUNK", 64)
     docs = random_docs(burst)
     counts, total = plain_counts(docs)
-    batch = _local(docs, limits.get("full", phrases.FULL))
-    assert sum(n for _, n in batch) == sum(total.values())
+    assert _local(docs, limits.get("full", phrases.FULL)) == sum(total.values())
     frame = spark.createDataFrame(docs, "lang string, text string").repartition(5)
     found, words_of = phrase_counts(frame, least=5, **limits)
     assert {(r.lang, r.phrase): r.n for r in found.collect()} == {k: n for k, n in counts.items() if n >= 5}
@@ -123,32 +125,39 @@ def test_phrase_counts(spark, monkeypatch, limits, burst, words):
 
 
 def _local(docs, full):
-    """Heads and counts of the runs that one task leaves, with the limits as they are set here."""
-    task = phrases._Task(4, full)
-    found = []
-    for lang, text in docs:
-        for batch in task.read(lang or "und", (text or "").encode()):
-            found += zip(batch.column("head").to_pylist(), batch.column("n").to_pylist(), strict=True)
-    for rest in (task.count(), task.spill(0)):
-        for batch in rest:
-            found += zip(batch.column("head").to_pylist(), batch.column("n").to_pylist(), strict=True)
-            for run in batch.column("run").to_pylist():
-                keys, _ = phrases._unpacked(run)
-                assert keys == sorted(keys) and len(keys) == len(set(keys))
-    return found
+    """The words counted in the runs that one task leaves, which must be sorted."""
+    task = phrases._Task(4, full, 3)
+    n = 0
+    batches = [batch for lang, text in docs for batch in task.read(lang or "und", (text or "").encode())]
+    for batch in [*batches, *task.count(), *task.finish()]:
+        n += sum(batch.column("words").to_pylist())
+        for run in batch.column("run").to_pylist():
+            heads, sizes, times, rest = phrases._unpacked(run)
+            heads, rests = heads.split(b"\n")[:-1], iter(rest.split(b"\n"))
+            assert heads == sorted(set(heads)) and len(times) == sizes.sum()
+            for size in sizes.tolist():
+                of_head = [next(rests) for _ in range(size)]
+                assert of_head == sorted(set(of_head))
+    return n
 
 
 def test_trie_bursts_and_counts(monkeypatch):
     monkeypatch.setattr(phrases, "BURST", 3)
     rng = np.random.default_rng(3)
-    values = (rng.integers(1, 5, 3000) << 42) | (rng.integers(0, 5, 3000) << 21) | rng.integers(0, 5, 3000)
-    trie = HatTrie(42)
-    new = sum(trie.add(np.sort(part)) for part in np.array_split(values, 30))
-    assert dict(trie.items()) == dict(Counter(values.tolist())) and new == len(set(values.tolist()))
-    assert any(isinstance(c, HatTrie) for c in trie.children.values())
-
-
-@pytest.mark.parametrize("limits", [{}, {"full": 100, "split_phrases": 20}])
+    windows = np.stack([rng.integers(1, 900, 3000), rng.integers(1, 3, 3000), rng.integers(0, 4, 3000), rng.integers(0, 2, 3000)], axis=1)
+    windows[:1500, 0] = 7
+    trie = HatTrie()
+    new = sum(trie.add(part) for part in np.array_split(windows, 30))
+    got = Counter()
+    for container in trie.containers():
+        for window, n in zip(phrases._windows(list(container)).tolist(), container.values(), strict=True):
+            got[tuple(window)] += n
+    assert got == Counter(map(tuple, windows.tolist())) and new == len(got)
+    below = [c for c in trie.children.values() if isinstance(c, HatTrie)]
+    assert below and any(isinstance(c, HatTrie) for node in below for c in node.children.values())
+
+
+@pytest.mark.parametrize("limits", [{}, SMALL])
 def test_collocations_equal_sql(spark, limits):
     docs = random_docs(7, 900)
     table = pa.table({"doc_id": range(len(docs)), "lang": [a for a, _ in docs], "text": pa.array([b for _, b in docs], pa.string())})
