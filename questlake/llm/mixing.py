@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -22,9 +23,12 @@ from questlake.operators.rank import global_rank
 
 WEIGHTS = (3, 1, 2)
 SHARE, CAP, SEED = 1.5, 2.0, 20
-#: Newton stops when every source is this close to its target, relatively, or after so many steps.
+#: Every source comes this close to its target, relatively, or as close as doubles can tell. After so many
+#: Newton steps its bracket is only halved, which always ends.
 CLOSE, STEPS = 1e-7, 60
-_STATE = ["source_size", "target", "mean_size", "lam"]
+#: Rows of a source that are rounded together, about; which ones is up to a hash of their ids and sizes.
+SLICE_ROWS = 50_000
+_STATE = ["source_size", "target", "mean_size", "lam", "slices"]
 
 
 def _source_key(source: str) -> Column:
@@ -66,22 +70,24 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
     known to hold the multiplier is replaced by halving it."""
     histogram = written(sizes.groupBy("skey", "size").agg(F.count(F.lit(1)).alias("n")).where("size > 0"), "histogram")
     mean = F.col("source_size") / F.greatest(F.col("n_docs"), F.lit(1))
-    start = targets.withColumns({"mean_size": F.greatest(mean, F.lit(1e-9)), "lam": F.lit(0.0), "lo": F.lit(-float("inf")), "hi": F.lit(float("inf"))})
+    slices = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / SLICE_ROWS))
+    start = targets.withColumn("slices", slices).withColumns({"mean_size": F.greatest(mean, F.lit(1e-9)), "lam": F.lit(0.0), "lo": F.lit(-float("inf")), "hi": F.lit(float("inf"))})
     state = written(start, "multipliers")
     rate = _rate(cap)
     slope = rate * (1 - rate / cap) * F.col("size") / F.col("mean_size")
     exact = lambda c: F.sum((F.col("n") * F.col("size") * c).cast("decimal(38,9)")).cast("double")
     n_all = state.agg(F.sum("n_docs")).first()[0] or 0
-    for _ in range(STEPS):
+    for taken in count():
         rows = lookup(histogram, state, "skey", state.where(F.col("n_docs") * 1000 > n_all), _STATE)
         sums = rows.groupBy("skey").agg(exact(rate).alias("got"), exact(slope).alias("slope"))
         now = state.join(sums, "skey", "left").withColumn("off", F.col("got") - F.col("target"))
         open_ = F.col("got").isNotNull() & (F.col("target") > 0) & (F.col("target") < F.col("source_size") * cap)
         open_ = open_ & (F.abs("off") > CLOSE * F.col("target"))
+        open_ = open_ & ~(F.col("hi") - F.col("lo") <= 1e-15 * F.abs("lam"))
         lo = F.when(F.col("off") < 0, F.col("lam")).otherwise(F.col("lo"))
         hi = F.when(F.col("off") > 0, F.col("lam")).otherwise(F.col("hi"))
         step = F.col("lam") - F.col("off") / F.col("slope")
-        inside = (F.col("slope") > 0) & (step > lo) & (step < hi) & (F.abs(step - F.col("lam")) <= 2 + 2 * F.abs("lam"))
+        inside = F.lit(taken < STEPS) & (F.col("slope") > 0) & (step > lo) & (step < hi) & (F.abs(step - F.col("lam")) <= 2 + 2 * F.abs("lam"))
         double = F.when(F.col("off") < 0, F.col("lam") + 1 + F.abs("lam")).otherwise(F.col("lam") - 1 - F.abs("lam"))
         middle = F.when((lo > -float("inf")) & (hi < float("inf")), (lo + hi) / 2).otherwise(double)
         moved = now.withColumns({"lam": F.when(open_, F.when(inside, step).otherwise(middle)).otherwise(F.col("lam")), "lo": lo, "hi": hi, "moving": open_})
@@ -93,7 +99,7 @@ def balance(sizes: DataFrame, targets: DataFrame, cap: float) -> DataFrame:
 
 
 def _rounded(cap: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rounds rates up or down, large documents first, so that the words taken from each run of a
+    """Rounds rates up or down, large documents first, so that the words taken from each slice of a
     source follow the words its rates ask for: what one document is off is made up by the next
     ones, and what stays open at the end is about half of one of the smallest documents."""
 
@@ -102,10 +108,10 @@ def _rounded(cap: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         for batch in batches:
             copies = []
             columns = {n: batch.column(n) for n in batch.schema.names}
-            rows = zip(*(columns[n].to_pylist() for n in ("skey", "size", "rate", "chance")), strict=True)
-            for key, size, rate, chance in rows:
-                if key != source:
-                    source, owed = key, 0.0
+            rows = zip(*(columns[n].to_pylist() for n in ("skey", "slice", "size", "rate", "chance")), strict=True)
+            for key, part, size, rate, chance in rows:
+                if (key, part) != source:
+                    source, owed = (key, part), 0.0
                 low = math.floor(rate)
                 if size:
                     owed += size * rate
@@ -138,6 +144,9 @@ def mix(
     A NULL text has no words; a document without words has rate 1 and one copy, unless its source
     is at a bound. The NULL source is the last source. A seeded hash of the id orders documents of
     equal size. Copies are whole numbers from 0 to ``cap``. An empty table gives an empty result.
+
+    Rates are rounded in slices of a source that depend on ids and sizes alone, so a rerun gives the same copies however
+    the rows are partitioned; of rows that repeat an id and size, any may be the one that is taken more often.
     """
     sizes = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -153,8 +162,9 @@ def mix(
     n_all = state.agg(F.sum("n_docs")).first()[0] or 0
     rated = lookup(sizes, state, "skey", state.where(F.col("n_docs") * 1000 > n_all), _STATE).withColumn("rate", _rate(cap))
     chance = F.pmod(F.col("lot"), F.lit(1 << 20)) / (1 << 20)
-    rated = rated.drop("mean_size", "lam").withColumn("chance", chance)
-    order = [F.col("skey"), F.col("size").desc(), F.col("lot"), F.col("row")]
+    part = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "size"), F.col("slices"))
+    rated = rated.withColumns({"slice": part, "chance": chance}).drop("mean_size", "lam", "slices")
+    order = [F.col("skey"), F.col("slice"), F.col("size").desc(), F.col("lot"), F.col("row")]
     schema = ", ".join(f"{n} {t}" for n, t in rated.dtypes) + ", copies int"
-    placed = rated.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_rounded(cap), schema)
+    placed = rated.repartition("skey", "slice").sortWithinPartitions(*order).mapInArrow(_rounded(cap), schema)
     return placed.select("doc_id", "source", "row", "size", "source_size", "target", "rate", "copies", *(["tag"] if tag else []))

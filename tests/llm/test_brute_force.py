@@ -10,11 +10,12 @@ import numpy as np
 import pyarrow as pa
 
 import corpus_pipeline
-from questlake.llm import jaccard_join
+from questlake.llm import jaccard_join, mixing
 from questlake.llm.decontaminate import SuffixAutomaton
 from questlake.llm.exact_dedup import exact_dedup
 from questlake.llm.fm_index import FMIndex, WaveletTree, first_owners
 from questlake.llm.jaccard_join import fingerprint, most_shared, near_duplicates, signatures, tagged
+from questlake.llm.mixing import mix
 from questlake.llm.queries import QUERIES
 from questlake.llm.shingles import words_of
 from questlake.llm.substring_dedup import remove_repeats
@@ -134,9 +135,9 @@ def test_substring_dedup(spark):
         assert {r.doc_id: (r.n_removed, r.kept_text) for r in got} == want
 
 
-def _shingles(text):
+def _shingles(text, size=3):
     w = text.lower().split()
-    return {tuple(w[i : i + 3]) for i in range(len(w) - 2)} if len(w) > 2 else {tuple(w)} if w else set()
+    return {tuple(w[i : i + size]) for i in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} if w else set()
 
 
 def _components(sets, percent):
@@ -237,7 +238,7 @@ def test_pipeline_keeps_what_it_should(spark, tmp_path):
         kept[name] = docs.collect()
     texts = {r.doc_id: r.text for r in kept["quality"]}
     ids = sorted(texts)
-    component = _components([_shingles(texts[i]) for i in ids], 90)
+    component = _components([_shingles(texts[i], corpus_pipeline.NEAR_SIZE) for i in ids], corpus_pipeline.NEAR_PERCENT)
     assert {r.doc_id for r in kept["near_dedup"]} == {ids[c] for c in component} and len(kept["near_dedup"]) == len(set(component))
     dirty = {r.doc_id for r in QUERIES["op1_decontaminate"](spark, sf).collect() if r.contaminated}
     assert {r.doc_id for r in kept["decontaminate"]} == {r.doc_id for r in kept["near_dedup"]} - dirty
@@ -246,3 +247,53 @@ def test_pipeline_keeps_what_it_should(spark, tmp_path):
     assert abs(mixed - 1.5 * sum(sizes.values())) < 0.02 * mixed
     assert sorted(r.doc_id for r in kept["sharding"]) == sorted(r.doc_id for r in kept["mixing"])
     assert {r.shard for r in kept["sharding"]} == set(range(8))
+
+
+def _mix_table(spark, seed, n=600):
+    draw = random.Random(seed)
+    rows = [(i, " ".join(["w"] * draw.choice([0, 1, 3, 10, 40, draw.randint(1, 3000)])), draw.choice(["a", "a", "a", "b", "c", None])) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_mixing_rates(spark):
+    """The rates against halving a bracket for each source's multiplier."""
+    rows, frame = _mix_table(spark, 4)
+    got = {r.doc_id: r for r in mix(frame).collect()}
+    sizes = {i: len(t.split()) for i, t, _ in rows}
+    for source in ("a", "b", "c", None):
+        ids = [i for i, _, s in rows if s == source]
+        target, total = got[ids[0]].target, sum(sizes[i] for i in ids)
+        mean = max(total / len(ids), 1e-9)
+        if target >= 2 * total:
+            assert {got[i].rate for i in ids} == {2.0}
+            continue
+
+        def rate(i, lam, mean=mean):
+            tilt = np.exp(np.clip(lam * sizes[i] / mean, -700, 700))
+            return 2 * tilt / (1 + tilt)
+
+        low, high = -700.0, 700.0
+        for _ in range(200):
+            middle = (low + high) / 2
+            low, high = (middle, high) if sum(sizes[i] * rate(i, middle) for i in ids) < target else (low, middle)
+        assert np.allclose([got[i].rate for i in ids], [rate(i, low) for i in ids], atol=1e-5)
+        taken = sum(sizes[i] * got[i].copies for i in ids)
+        assert abs(taken - target) < 0.02 * target
+
+
+def test_mixing_reruns_agree(spark, monkeypatch):
+    """However the rows are partitioned, with slices of a few rows and without merging of partitions."""
+    monkeypatch.setattr(mixing, "SLICE_ROWS", 40)
+    _, frame = _mix_table(spark, 9)
+    settings = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    before = {s: spark.conf.get(s) for s in settings}
+    found = []
+    try:
+        for coalesce, partitions in (("true", 8), ("false", 3), ("false", 8), ("false", 13), ("false", 13)):
+            spark.conf.set(settings[0], coalesce)
+            spark.conf.set(settings[1], partitions)
+            found.append(sorted((r.doc_id, r.copies) for r in mix(frame.repartition(partitions)).collect()))
+    finally:
+        for s, value in before.items():
+            spark.conf.set(s, value)
+    assert all(f == found[0] for f in found) and {c for _, c in found[0]} == {1, 2}
