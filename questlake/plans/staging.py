@@ -50,9 +50,11 @@ def extract(docs: DataFrame, fields: Sequence[Field], strict: bool = True, keep:
 
 
 def _bad_key(fields: Sequence[Field]) -> Column:
-    """Whether the key holds a value that does not cast."""
+    """Whether the key holds a value that does not cast. A missing key and a JSON null hold none; both are
+    told from the variant that tells whether there is a key, so that a scan reads the key in two types only."""
     raw, key = F.col("raw_data"), fields[0]
-    return field(raw, key, strict=False).isNull() & F.try_variant_get(raw, key.path, "string").isNotNull()
+    value = F.variant_get(raw, key.path, "variant")
+    return field(raw, key, strict=False).isNull() & value.isNotNull() & ~F.is_variant_null(value)
 
 
 def key_rejects(raw: DataFrame, fields: Sequence[Field]) -> DataFrame:
@@ -82,7 +84,7 @@ def latest(
     carried = [c for c in raw.columns if c != "raw_data" and c not in {f.name for f in fields}]
     typed = keyed.select(*[field(F.col("raw_data"), f, strict=False).alias(f.name) for f in fields], *carried, "raw_data")
     if strict:
-        wrong = F.raise_error(F.concat(F.lit(f"values that do not cast: {key} "), F.try_variant_get("raw_data", fields[0].path, "string")))
+        wrong = F.raise_error(F.concat(F.lit(f"values that do not cast: {key} "), F.variant_get("raw_data", fields[0].path, "variant").cast("string")))
         typed = typed.withColumn(key, F.when(_bad_key(fields), wrong).otherwise(F.col(key)))
         typed = typed.withColumn("_failed", cast_failures(F.col("raw_data"), fields))
     rows = latest_by_key(typed.drop("raw_data"), [key], F.col(version), ties)
