@@ -20,6 +20,7 @@ from questlake.plans import marts, reports, staging
 from questlake.plans.embed_sync import embed_query, embeddable, search, sync_embeddings
 from questlake.plans.jobs import TESTS
 from questlake.session import materialise, new_dir
+from questlake.sources.keyed import read_keyed
 from questlake.sources.snapshots import publish, read_published
 
 # Which of the loads of one part is the latest: ship date, then these.
@@ -297,7 +298,7 @@ def _synced(spark: SparkSession, sf_dir: str) -> str:
 def embed_sync_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs: games embedded by the first keep what it stored, although newer loads came."""
     columns = ["game_id", "name", "description_raw", "released_date", "rating", "metacritic_score"]
-    return spark.read.parquet(_synced(spark, sf_dir)).select(
+    return read_keyed(spark, _synced(spark, sf_dir)).select(
         *columns,
         F.col("embedding").isNotNull().alias("has_embedding"),
         F.to_date("embedded_at").alias("embedded_on"),
@@ -326,7 +327,7 @@ _STORED = f"game_id, name, description_raw, released_date, rating, metacritic_sc
 )
 def search_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search by text over the synced table, with all columns of the answer."""
-    store = spark.read.parquet(_synced(spark, sf_dir))
+    store = read_keyed(spark, _synced(spark, sf_dir))
     hits = search(store, embed_query(spark, "small ring", hashed_words()), "20")
     return hits.withColumn("similarity", F.round("similarity", 6))
 

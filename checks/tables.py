@@ -20,12 +20,13 @@ from questlake.operators.merge import enrich_merge, pending_rows, update_by_key,
 from questlake.operators.rank import global_rank, rank_in_group
 from questlake.operators.validate import window_bounds, with_reason
 from questlake.operators.vector import cosine_topk, cosine_topk_batch
+from questlake.plans.staged import read_staged, stage_new_batches
 from questlake.plans.staging import extract
 from questlake.session import new_dir
 from questlake.sources.jsonl import entity_path, load_summary, read_raw, read_rejects, write_bronze
 from questlake.sources.pages import page_results as results_of_pages
 from questlake.sources.retention import expired_dates
-from questlake.streaming.incremental import load_new_files, read_raw_table, read_rejected
+from questlake.streaming.incremental import load_log, load_new_files, read_raw_table, read_rejected
 
 
 def _lines(*columns: Column) -> Column:
@@ -83,6 +84,46 @@ def raw_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_raw_table(spark, target), fields)
 
 
+@query(
+    "stg_incremental",
+    """WITH n AS (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2)
+       SELECT c_custkey AS id, c_name AS name,
+         CASE WHEN p.n IS NOT NULL THEN 'P' WHEN o.n IS NOT NULL THEN 'O' ELSE 'F' END AS status, coalesce(p.n, o.n, f.n, 0) AS orders
+       FROM customer LEFT JOIN n f ON f.o_custkey = c_custkey AND f.o_orderstatus = 'F'
+       LEFT JOIN n o ON o.o_custkey = c_custkey AND o.o_orderstatus = 'O' LEFT JOIN n p ON p.o_custkey = c_custkey AND p.o_orderstatus = 'P'""",
+)
+def stg_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads, each staged when it came: all customers with their count of one order status, then those
+    that have orders of the second, then of the third. Each run reads the batches of its load."""
+    source, target, checkpoint, store = (new_dir(spark, n) for n in ("lines", "raw", "checkpoint", "staged"))
+    customers, orders = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    fields = [Field("id", "$.id", "bigint"), Field("name", "$.name", "string"), Field("status", "$.status", "string"), Field("orders", "$.orders", "bigint")]
+    for day, status in enumerate("FOP"):
+        counted = orders.where(F.col("o_orderstatus") == status).groupBy("o_custkey").agg(F.count("*").alias("n"))
+        met = customers.join(counted, F.col("c_custkey") == F.col("o_custkey"), "left" if status == "F" else "inner")
+        count = F.coalesce("n", F.lit(0)).alias("orders")
+        met.select(_lines(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit(status).alias("status"), count)).write.mode("append").text(source)
+        load_new_files(spark, source, target, checkpoint, dt.datetime(2026, 1, 5 + 7 * day))
+        stage_new_batches(spark, target, store, fields)
+    return read_staged(spark, store)
+
+
+@query(
+    "load_log",
+    """SELECT o_orderstatus AS status, count(*) AS loaded, 0::BIGINT AS rejected FROM orders GROUP BY 1""",
+)
+def load_log_of_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load per order status, told apart in the log by the load time."""
+    source, target, checkpoint = (new_dir(spark, n) for n in ("lines", "raw", "checkpoint"))
+    orders = table(spark, sf_dir, "orders")
+    for day, status in enumerate("FOP"):
+        orders.where(F.col("o_orderstatus") == status).select(_lines(F.col("o_orderkey").alias("id"))).write.mode("append").text(source)
+        load_new_files(spark, source, target, checkpoint, dt.datetime(2026, 1, 5 + day))
+    log = load_log(spark, target).groupBy("loaded_at").agg(F.sum("loaded").alias("loaded"), F.sum("rejected").alias("rejected"))
+    status = F.substring(F.lit("FOP"), F.dayofmonth(F.to_timestamp("loaded_at")) - 4, F.lit(1))
+    return log.select(status.alias("status"), "loaded", "rejected")
+
+
 @query(
     "raw_incremental_rejects",
     """SELECT '{"name": "' || c_name || '", "open": ' AS value, (SELECT count(*) FROM orders) AS loaded,

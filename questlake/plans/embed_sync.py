@@ -15,9 +15,8 @@ from questlake.operators.embed import Embedder, embedding, with_embedding
 from questlake.operators.merge import pending_rows
 from questlake.operators.vector import clamp_limit, cosine_topk, with_details
 from questlake.session import materialise
-from questlake.sources import hdfs
+from questlake.sources import hdfs, keyed
 from questlake.sources.jsonl import load_stamp
-from questlake.sources.snapshots import merge_buckets
 
 # The columns that a sync updates, apart from vector and times.
 METADATA = ["name", "description_raw", "released_date", "rating", "metacritic_score"]
@@ -38,6 +37,11 @@ def pending_games(games: DataFrame, stored: DataFrame | None) -> DataFrame:
     return ready if stored is None else pending_rows(ready, stored, "game_id", filled="embedded_at")
 
 
+def stored_vectors(spark: SparkSession, store: str) -> DataFrame | None:
+    """The vector table, or None before the first sync."""
+    return keyed.read_keyed(spark, store) if keyed.manifest(spark, store) else None
+
+
 def sync_embeddings(
     games: DataFrame,
     store: str,
@@ -50,23 +54,23 @@ def sync_embeddings(
     """Embed the pending games and merge them into the vector table at ``store``; with
     ``index``, bring the cell index there up to date.
 
-    Stored vectors are never refreshed. Metadata and vector are merged in one job, after the
-    vectors were computed once; a run that fails before leaves the table as it was.
+    ``store`` is a keyed table (``read_keyed``). Stored vectors are never refreshed. Metadata and vector are
+    merged in one commit, after the vectors were computed once; a run that fails before leaves the table as it
+    was, and a run with few new games writes few files.
     """
     spark = games.sparkSession
-    stored = spark.read.parquet(store) if hdfs.exists(spark, store) else None
+    stored = stored_vectors(spark, store)
     text = embed_text(F.col("name"), F.col("genres"), F.col("description_raw"))
     pending = with_embedding(pending_games(games, stored), text, embed, partitions=partitions)
     ready = materialise(pending.drop("genres"), "embedded")
     count = ready.count()
     if count:
         stamp = load_stamp(now)
-        merge_buckets(
-            ready, store, "game_id", [*METADATA, "embedding"], {"synced_at": stamp, "embedded_at": stamp}, buckets
-        )
-    if index and hdfs.exists(spark, store):
+        keyed.upsert(ready, store, "game_id", [*METADATA, "embedding"], {"synced_at": stamp, "embedded_at": stamp}, buckets)
+        stored = stored_vectors(spark, store)
+    if index and stored is not None:
         update = refresh_cells if hdfs.exists(spark, f"{index}/cells") else build_cells
-        update(spark.read.parquet(store), index, "game_id")
+        update(stored, index, "game_id")
     return {"status": "ok", "embedded": count, "skipped": 0}
 
 

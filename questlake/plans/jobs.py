@@ -17,7 +17,9 @@ from questlake.operators.quality import Tests
 from questlake.operators.validate import split_window, window_bounds
 from questlake.plans import marts, staging
 from questlake.plans.embed_sync import sync_embeddings
+from questlake.plans.staged import read_staged, stage_new_batches
 from questlake.session import materialise
+from questlake.sources import keyed
 from questlake.sources.jsonl import entity_path, read_raw, write_bronze
 from questlake.sources.pages import page_results
 from questlake.sources.retention import drop_expired
@@ -97,6 +99,21 @@ def build_staging(raw: dict[str, DataFrame], base: str, ties: tuple[Column, ...]
     return {name: read_published(spark, base, name) for name in staged}
 
 
+def update_staging(spark: SparkSession, raw: str, base: str, buckets: int = 64) -> dict[str, DataFrame]:
+    """Stage what came to the three raw tables below ``raw`` since the last run, into keyed tables."""
+    models = {"stg_games": ("games", staging.GAMES), "stg_genres": ("genres", staging.GENRES), "stg_platforms": ("platforms", staging.PLATFORMS)}
+    staged = {}
+    for name, (entity, fields) in models.items():
+        stamp = "dbt_loaded_at" if name == "stg_games" else None
+        stage_new_batches(spark, f"{raw}/{entity}", f"{base}/{name}", fields, stamp=stamp, buckets=buckets)
+        if keyed.manifest(spark, f"{base}/{name}"):
+            staged[name] = read_staged(spark, f"{base}/{name}")
+        else:
+            empty = staging.latest(read_raw_table(spark, f"{raw}/{entity}"), fields)
+            staged[name] = empty.withColumn(stamp, F.current_timestamp()) if stamp else empty
+    return staged
+
+
 def build_marts(games: DataFrame, base: str) -> dict[str, DataFrame]:
     for name, build in marts.MARTS.items():
         publish(build(games), base, name, marts.COLUMNS[name])
@@ -119,22 +136,21 @@ def run_all(
     index: str | None = None,
     retain: tuple[dt.date, int] | None = None,
 ) -> dict[str, object]:
-    """Load new bronze files, stage, build the marts, test, then embed and publish.
+    """Load new bronze files, stage them, build the marts, test, then embed and publish.
 
-    Equal load times are decided by file name and the hash of the line. A failing test raises
+    Staging reads the new raw rows and merges them into the stored ones. Equal load times are decided by file name and the hash of the line. A failing test raises
     ``DataQualityError`` before anything is embedded or published. These two run side by side, and
     one that fails does not stop the other: its error is raised when both have ended. ``buckets``,
-    ``partitions`` and ``index`` are those of ``sync_embeddings``; with ``retain``, a date and a
+    ``partitions`` and ``index`` are those of ``sync_embeddings``, and ``buckets`` that of staging too; with ``retain``, a date and a
     number of days, bronze folders older than that are deleted in the end.
     """
-    loaded, rejected, raw = {}, {}, {}
+    loaded, rejected = {}, {}
     for entity in ENTITIES:
         target = f"{out}/raw/{entity}"
         loaded[entity], rejected[entity] = load_new_files(
             spark, entity_path(bronze, entity), target, f"{out}/checkpoints/{entity}", loaded_at
         )
-        raw[entity] = read_raw_table(spark, target)
-    staged = build_staging(raw, f"{out}/staging", (F.desc("source_file"), F.asc("line_hash")))
+    staged = update_staging(spark, f"{out}/raw", f"{out}/staging", buckets)
     built = build_marts(staged["stg_games"], f"{out}/mart")
     result = materialise(quality.summary({**staged, **built}, TESTS), "tests")
     quality.require_clean(result)

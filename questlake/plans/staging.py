@@ -68,8 +68,9 @@ def latest(
     version: str = "loaded_at",
     ties: Sequence[Column] = (),
     strict: bool = True,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The latest document per key (the first field), typed.
+    """The latest document per key (the first field), typed, with the columns of ``raw`` named in ``keep``.
 
     Columns are extracted before the shuffle, so it carries what the reader of the result
     selects and not whole documents. With ``strict`` a value that does not cast raises, but
@@ -91,7 +92,7 @@ def latest(
     if strict:
         message = F.concat(F.lit("values that do not cast: "), F.col("_failed"))
         rows = rows.withColumn(key, F.when(F.col("_failed") != "", F.raise_error(message)).otherwise(F.col(key)))
-    return rows.select(*[f.name for f in fields])
+    return rows.select(*[f.name for f in fields], *keep)
 
 
 def stg_games(raw: DataFrame, ties: Sequence[Column] = (), strict: bool = True) -> DataFrame:
