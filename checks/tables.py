@@ -389,6 +389,23 @@ def average_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "rounded_avg_huge",
+    """SELECT l_returnflag, 1e22 AS same, 1e25 AS largest,
+         CAST((2 * sum(CAST(round(l_quantity) AS HUGEINT)) * 100 + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS cancelled
+       FROM lineitem GROUP BY 1""",
+)
+def averages_of_huge_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums far beyond 38 digits with twelve places, and huge values of either sign that leave a small average."""
+    lines = table(spark, sf_dir, "lineitem")
+    signs = F.explode(F.array(F.lit(1e24), F.lit(-1e24), F.lit(0.0))).alias("extra")
+    spread = lines.select("l_returnflag", F.lit(1e22).alias("same"), F.lit(1e25).alias("largest"), "l_quantity", signs)
+    cancelled = F.when(F.col("extra") == 0, F.col("l_quantity") * 3).otherwise(F.col("extra"))
+    return spread.groupBy("l_returnflag").agg(
+        rounded_avg(F.col("same"), 2).alias("same"), rounded_avg(F.col("largest"), 1).alias("largest"), rounded_avg(cancelled, 2).alias("cancelled")
+    )
+
+
 @query(
     "rounded_avg_wide",
     """SELECT l_returnflag, round(avg(l_discount * 1e-6), 10) AS tiny, round(avg(l_extendedprice * 1e10), -4) AS large,

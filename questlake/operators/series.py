@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from questlake.functions.numeric import SCALE, exact, rounded_ratio
+from questlake.functions.numeric import SCALE, limb_ratio, limbs, rounded_ratio
 
 
 def daily_counts(
@@ -30,20 +30,24 @@ def daily_counts(
     Averages are rounded to ``digits`` and treat NaN and very large values as ``rounded_avg`` does.
     """
     dated = df.where(F.col(day).isNotNull())
-    value, has_score = exact(F.col(averaged), scale), F.col(scored).isNotNull()
-    unfit = F.when(value.isNull(), F.col(averaged).cast("double"))
+    high, low = limbs(F.col(averaged), scale)
+    has_score = F.col(scored).isNotNull()
+    unfit = F.when(low.isNull(), F.col(averaged).cast("double"))
     if unique_key:
-        rows = dated.select(day, key, value.alias("_sum"), unfit.alias("_unfit"), F.col(averaged).alias("_value"), has_score.alias("_scored"))
-        rows = rows.withColumn("_n", F.when(F.col("_value").isNotNull(), 1))
+        measures = [high.alias("_high"), low.alias("_low"), unfit.alias("_unfit"), F.col(averaged).alias("_value"), has_score.alias("_scored")]
+        rows = dated.select(day, key, *measures).withColumn("_n", F.when(F.col("_value").isNotNull(), 1))
     else:
         rows = dated.groupBy(day, key).agg(
-            F.sum(value).alias("_sum"), F.sum(unfit).alias("_unfit"), F.count(averaged).alias("_n"), F.bool_or(has_score).alias("_scored")
+            F.sum(high).alias("_high"), F.sum(low).alias("_low"), F.sum(unfit).alias("_unfit"), F.count(averaged).alias("_n"), F.bool_or(has_score).alias("_scored")
         )
-    count = F.coalesce(F.sum("_n"), F.lit(0))
-    total = F.coalesce(F.sum("_sum").cast("double"), F.lit(0.0)) + F.sum("_unfit")
+    count, highs, lows = F.coalesce(F.sum("_n"), F.lit(0)), F.sum("_high"), F.sum("_low")
+    total = F.coalesce(highs.cast("double") * 10.0 ** (22 - scale), F.lit(0.0)) + F.coalesce(lows.cast("double"), F.lit(0.0)) + F.sum("_unfit")
+    exactly = rounded_ratio(lows, count, digits)
+    if scale <= SCALE:
+        exactly = F.when(highs.isNotNull(), limb_ratio(highs, lows, count, digits, scale)).otherwise(exactly)
     return rows.groupBy(day).agg(
         F.count(key).alias(counted),
-        F.when(F.sum("_unfit").isNotNull(), F.round(total / count, digits)).otherwise(rounded_ratio(F.sum("_sum"), count, digits)).alias(average),
+        F.when(F.sum("_unfit").isNotNull(), F.round(total / count, digits)).otherwise(exactly).alias(average),
         F.count(F.when(F.col("_scored"), F.col(key))).alias(scored_count),
     )
 

@@ -1,11 +1,16 @@
 import datetime as dt
 import json
 
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
 from questlake.functions.numeric import rounded_avg, weighted_score
 from questlake.functions.text import embed_text, joined_names, non_blank
+from questlake.operators.series import daily_counts
 from questlake.functions.variant import (
     Field,
     element_names,
@@ -101,6 +106,35 @@ def test_rounded_avg_rounds_half_up_exactly(spark):
     assert one(values(spark, "double", None).agg(rounded_avg(F.col("v"), 2))) is None
 
 
+def test_averages_over_the_whole_range(spark):
+    """Against fractions: sums beyond 10^26, signs that cancel, halves, and many digits next to few."""
+    draw = random.Random(6)
+    cases = [[2e22, 2e22], [5e23, 5e23], [1e25] * 20, [9.9e25] * 50, [1e25, -1e25, 0.5, 0.51], [-1e22, 1.0, 2.0], [1e22, -3e22], [99e24, 1.25, -99e24]]
+    cases += [[3e14, 0.005], [-3e14, -0.005], [1e14, -1e14, 0.125, 0.0, 0.0], [1e14] * 3 + [-1e14] * 3 + [0.07] * 2, [7.0], [0.0, -1e20]]
+    cases += [[draw.choice([-1, 1]) * draw.random() * 10.0 ** draw.randint(-3, 25) for _ in range(draw.randint(1, 9))] for _ in range(120)]
+    rows = spark.createDataFrame([(i, v) for i, c in enumerate(cases) for v in c], "i int, v double").withColumn("d", F.lit("2026-01-01").cast("date"))
+    digits = (2, 0, 6, -4, 10)
+    got = {r.i: r for r in rows.groupBy("i").agg(*[rounded_avg(F.col("v"), d).alias(f"a{n}") for n, d in enumerate(digits)]).collect()}
+
+    def wanted(case, d):
+        total = sum(Fraction(Decimal(v).quantize(Decimal("1e-12"), ROUND_HALF_UP)) for v in case)
+        scaled = abs(total / len(case)) * Fraction(10) ** d
+        nearest = int(scaled + Fraction(1, 2))
+        return float(Fraction(nearest) / Fraction(10) ** d) * (-1 if total < 0 else 1)
+
+    with localcontext() as context:
+        context.prec = 60
+        for i, case in enumerate(cases):
+            large = max(map(abs, case)) >= 1e14
+            for n, d in enumerate(digits):
+                assert got[i][f"a{n}"] == (wanted(case, d) if large else pytest.approx(wanted(case, d), rel=1e-12, abs=1e-12)), (case, d)
+        for unique in (True, False):
+            for i in (0, 2, 4, 8):
+                case = rows.where(F.col("i") == i).withColumn("k", F.monotonically_increasing_id())
+                day = daily_counts(case, "d", "k", "v", "v", "v", "average", "scored", unique_key=unique).first()
+                assert day.average == wanted(cases[i], 2)
+
+
 def test_text(spark):
     df = spark.createDataFrame([("N", "A, B", "x" * 3000)], "n string, g string, d string")
     assert one(df.select(embed_text(F.col("n"), F.col("g"), F.col("d")))) == "N | A, B | " + "x" * 2000
