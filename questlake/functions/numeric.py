@@ -72,12 +72,14 @@ def rounded_avg(value: Column, digits: int, scale: int = SCALE) -> Column:
     on the order in which partitions are added up. Values keep ``scale`` decimal places. Sums of any
     number of values below 10 to the ``38 - scale`` are exact; if a value is not below that (or is NaN or an
     infinity), doubles are averaged."""
+    number = value.cast("double")
+    # NaN is above all numbers here.
+    plain = F.bool_or(F.abs(number) >= 10.0 ** (38 - scale))
     high, low = limbs(value, scale)
-    plain = F.bool_or(value.isNotNull() & low.isNull())
     exactly = F.round(F.avg(low), digits).cast("double")
     if scale <= SCALE:
         exactly = F.when(F.sum(high).isNotNull(), limb_ratio(F.sum(high), F.sum(low), F.count(value), digits, scale)).otherwise(exactly)
-    return F.when(plain, F.round(F.avg(value.cast("double")), digits)).otherwise(exactly)
+    return F.when(plain, F.round(F.avg(number), digits)).otherwise(exactly)
 
 
 def rounded_ratio(total: Column, count: Column, digits: int) -> Column:
