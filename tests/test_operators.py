@@ -1,14 +1,15 @@
 import datetime as dt
 import json
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from questlake.operators import aggregate, quality, series
+from questlake.operators import aggregate, quality, rank, series
 from questlake.operators.dedup import latest_by_key
 from questlake.operators.merge import enrich_merge, pending_rows, update_by_key, upsert_by_key
-from questlake.operators.rank import rank_rows
+from questlake.operators.rank import rank_in_group, rank_rows
 from questlake.operators.validate import split_window, window_bounds
 
 END = dt.date(2026, 6, 20)
@@ -210,3 +211,27 @@ def test_quality_gate(spark):
     with pytest.raises(quality.DataQualityError, match="m.id not_null: 2"):
         quality.require_clean(result)
     quality.require_clean(result.where("failures = 0"))
+
+
+def test_ranks_in_groups_over_many_partitions(spark, monkeypatch):
+    """Groups of all sizes, NULL and '' among them, over one and many range partitions, broadcast or joined."""
+    draw = random.Random(8)
+    rows = [(i, draw.choice(["hot"] * 30 + [None, "", "a", "b", f"x{draw.randrange(40)}"]), draw.choice([None, 1, 2]), draw.randrange(50)) for i in range(700)]
+    df = spark.createDataFrame(rows, "id int, g string, h int, v int")
+    order = [F.desc("v"), F.col("id")]
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for most in (1 << 20, 0):
+            monkeypatch.setattr(rank, "BROADCAST_STARTS", most)
+            got = rank_rows(df, order, "n", {"m": ["g"], "k": ["g", "h"]}).collect()
+            alone = {r.id: r.k for r in rank_in_group(df, ["g", "h"], order, "k").collect()}
+            assert len(got) == len(alone) == 700
+            want = sorted(rows, key=lambda r: (-r[3], r[0]))
+            seen = Counter()
+            by_id = {r.id: r for r in got}
+            for n, (i, g, h, _) in enumerate(want):
+                seen.update([("g", g), ("gh", g, h)])
+                assert (by_id[i].n, by_id[i].m, by_id[i].k, alone[i]) == (n + 1, seen[("g", g)], seen[("gh", g, h)], seen[("gh", g, h)])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

@@ -53,6 +53,17 @@ def test_rank_gathers_counts_only(spark):
         assert "HashAggregate" in block.splitlines()[1]
 
 
+def test_ranks_shuffle_full_rows_once(spark):
+    """The one shuffle is that by range, before the rows are written: what is planned on the written rows
+    shuffles counts alone."""
+    df = spark.range(1000).select("id", (F.col("id") % 3).alias("g"), F.lit("wide").alias("text"))
+    for kinds in ({"overall": "n", "within": {"m": ["g"]}}, {"within": {"m": ["g"]}}):
+        text = plan(rank_rows(df, [F.desc("id")], **kinds))
+        for block in re.split(r"(?<!Broadcast)Exchange ", text)[1:]:
+            assert "HashAggregate" in block.splitlines()[1]
+        assert "SortMergeJoin" not in text
+
+
 def test_topk_takes_ordered_and_looks_details_up(spark):
     table = materialise(spark.range(50).select("id", F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("embedding"), F.lit("t").alias("text")), "vectors")
     hits = cosine_topk(table, [1.0, 0.0], 3, "id")
