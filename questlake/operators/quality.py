@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,24 +34,42 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.select(F.inline(rows))
 
 
+def _tested(model: str, df: DataFrame, wanted: Tests) -> DataFrame:
+    """All tests of one model from one scan.
+
+    Each row gives the values of the unique columns, and an entry for each column that must not be null and is.
+    These are counted by column and value, combined per task first: what is shuffled are the values that must be
+    told apart anyway, and one row per column and task for the nulls.
+    """
+    kinds = dict(zip(df.columns, [f.dataType for f in df.schema.fields], strict=True))
+    columns = list(dict.fromkeys([*wanted.unique, *wanted.not_null]))
+    values = [f"v{i}" for i in range(len(wanted.unique))]
+
+    def entry(at: int, column: str) -> Column:
+        own = [(F.col(u) if u == column else F.lit(None).cast(kinds[u])).alias(v) for u, v in zip(wanted.unique, values, strict=True)]
+        missing = F.col(column).isNull()
+        told = F.struct(F.lit(at).alias("at"), missing.alias("missing"), *own)
+        return told if column in wanted.unique else F.when(missing, told)
+
+    entries = F.filter(F.array(*[entry(at, c) for at, c in enumerate(columns)]), lambda e: e.isNotNull())
+    counts = df.select(F.inline(entries)).groupBy("at", "missing", *values).agg(F.count(F.lit(1)).alias("n"))
+
+    def failures(column: str, test: str) -> Column:
+        own = F.col("at") == columns.index(column)
+        if test == "unique":
+            found = F.count_if(own & ~F.col("missing") & (F.col("n") > 1))
+        else:
+            found = F.coalesce(F.sum(F.when(own & F.col("missing"), F.col("n"))), F.lit(0).cast("bigint"))
+        return F.struct(F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit(test).alias("test"), found.alias("failures"))
+
+    tests = [*((c, "not_null") for c in wanted.not_null), *((c, "unique") for c in wanted.unique)]
+    return counts.agg(F.array(*[failures(*t) for t in tests]).alias("results")).select(F.inline("results"))
+
+
 def summary(models: dict[str, DataFrame], tests: dict[str, Tests]) -> DataFrame:
-    """``(model, column, test, failures)`` for every declared test."""
-    parts = []
-    for model, wanted in tests.items():
-        df = models[model]
-        if wanted.not_null:
-            parts.append(
-                null_counts(df, wanted.not_null).select(
-                    F.lit(model).alias("model"), "column", F.lit("not_null").alias("test"), "failures"
-                )
-            )
-        for column in wanted.unique:
-            parts.append(
-                duplicates(df, column).agg(F.count("*").alias("failures")).select(
-                    F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit("unique").alias("test"), "failures"
-                )
-            )
-    return reduce(DataFrame.unionByName, parts)
+    """``(model, column, test, failures)`` for every declared test: rows that are null, or values that occur
+    more than once. Each model is scanned once."""
+    return reduce(DataFrame.unionByName, [_tested(model, models[model], wanted) for model, wanted in tests.items() if wanted.unique or wanted.not_null])
 
 
 def require_clean(result: DataFrame) -> None:

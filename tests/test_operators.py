@@ -235,3 +235,16 @@ def test_ranks_in_groups_over_many_partitions(spark, monkeypatch):
                 assert (by_id[i].n, by_id[i].m, by_id[i].k, alone[i]) == (n + 1, seen[("g", g)], seen[("gh", g, h)], seen[("gh", g, h)])
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_gate_counts_every_kind_of_failure(spark):
+    rows = [(1, "a", 1.0, None), (1, "a", 1.0, "x"), (2, None, 0.0, "x"), (None, None, -0.0, None), (None, "b", None, "x"), (3, "c", float("nan"), "y"), (3, "d", float("nan"), "y")]
+    df = spark.createDataFrame(rows, "k int, name string, v double, t string")
+    tests = {"m": quality.Tests(unique=["k", "v"], not_null=["k", "name", "t"]), "n": quality.Tests(not_null=["v"]), "o": quality.Tests(unique=["name"])}
+    models = {"m": df, "n": df, "o": df}
+    got = {(r.model, r.column, r.test): r.failures for r in quality.summary(models, tests).collect()}
+    assert got == {
+        ("m", "k", "not_null"): 2, ("m", "name", "not_null"): 2, ("m", "t", "not_null"): 2, ("m", "k", "unique"): 2, ("m", "v", "unique"): 3,
+        ("n", "v", "not_null"): 1, ("o", "name", "unique"): 1,
+    }
+    assert {r.failures for r in quality.summary({m: df.where("false") for m in models}, tests).collect()} == {0}

@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from questlake.operators import quality
 from questlake.operators.rank import rank_rows
 from questlake.operators.vector import cosine_topk, with_details
 from questlake.plans import marts, staging
@@ -53,6 +54,12 @@ def test_rank_gathers_counts_only(spark):
         assert "HashAggregate" in block.splitlines()[1]
 
 
+def test_gate_scans_each_model_once(spark):
+    models = {m: materialise(spark.range(100).select("id", (F.col("id") % 7).alias("g"), F.lit("wide").alias("text")), m) for m in ("a", "b")}
+    text = plan(quality.summary(models, {m: quality.Tests(unique=["id", "g"], not_null=["id", "g", "text"]) for m in models}))
+    assert text.split("Initial Plan")[0].count("FileScan parquet") == 2
+
+
 def test_ranks_shuffle_full_rows_once(spark):
     """The one shuffle is that by range, before the rows are written: what is planned on the written rows
     shuffles counts alone."""
