@@ -19,9 +19,9 @@ from questlake.operators.dedup import latest_by_key
 from questlake.operators.embed import hashed_words
 from questlake.plans import marts, reports, staging
 from questlake.plans.embed_sync import embed_query, embeddable, search, sync_embeddings
-from questlake.plans.jobs import TESTS, run_all
+from questlake.plans.jobs import TESTS, ingest, run_all
 from questlake.session import materialise, new_dir
-from questlake.sources.jsonl import write_bronze
+from questlake.sources.jsonl import preview, read_raw, write_bronze
 from questlake.sources.keyed import read_keyed
 from questlake.sources.snapshots import publish, read_published
 
@@ -392,3 +392,82 @@ def run_all_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     if any(again["loaded"].values()) or not again["embedded"]:
         raise AssertionError(f"the second run began from the start: {again}")
     return read_published(spark, f"{out}/published", "mart_top_games")
+
+
+@query(
+    "preview_games",
+    f"""SELECT l_partkey AS id, p_name AS name, CASE WHEN l_linenumber = 6 THEN 'TBA' ELSE strftime(l_shipdate, '%Y-%m-%d') END AS released,
+          CASE WHEN l_linenumber <> 5 THEN l_quantity / 10 END AS rating,
+          CASE WHEN l_linenumber <> 7 THEN CAST(round(l_discount * 1000) AS INTEGER) END AS metacritic,
+          CASE WHEN l_linenumber <> 2 THEN p_type || '/' || p_brand ELSE '' END AS genres, l_linestatus AS platforms
+        FROM lineitem JOIN part ON l_partkey = p_partkey
+        ORDER BY l_shipdate DESC NULLS LAST, {", ".join(c + " DESC" for c in _TIES)} LIMIT 20""",
+)
+def preview_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first records of the newest loads."""
+    raw = raw_games(spark, sf_dir)
+    newest = preview(raw.orderBy(F.desc("loaded_at"), *[F.desc(c) for c in _TIES]), 20)
+    names = {c: F.array_join(F.coalesce(c, F.array().cast("array<string>")), "/") for c in ("genres", "platforms")}
+    return newest.withColumns(names)
+
+
+@query(
+    "stamped_loads",
+    """WITH n AS (SELECT count(DISTINCT l_partkey) AS documents FROM lineitem JOIN part ON l_partkey = p_partkey)
+       SELECT load, documents, CAST(1 AS BIGINT) AS stamps, load <> 'replayed' AS recent
+       FROM n, (SELECT unnest(['current', 'replayed', 'staged']) AS load)""",
+)
+def stamped_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load has one stamp, the current time or that of a replay, and a staging run one time of its own."""
+    games = f"{_bronze_of_latest(spark, sf_dir)}/games"
+    loads = {"current": read_raw(spark, games), "replayed": read_raw(spark, games, _FIRST)}
+    stamps = [df.select(F.lit(name).alias("load"), F.col("loaded_at").alias("stamp")) for name, df in loads.items()]
+    stamps.append(staging.stg_games(loads["replayed"]).select(F.lit("staged").alias("load"), F.col("dbt_loaded_at").alias("stamp")))
+    rows = stamps[0].union(stamps[1]).union(stamps[2])
+    recent = F.col("stamp").between(F.current_timestamp() - F.expr("INTERVAL 1 HOUR"), F.current_timestamp())
+    return rows.groupBy("load").agg(
+        F.count("*").alias("documents"), F.count_distinct("stamp").alias("stamps"), F.bool_and(recent).alias("recent")
+    )
+
+
+_RUNS = (dt.date(1997, 6, 30), dt.date(1997, 8, 31))
+
+
+def _landing(spark: SparkSession, sf_dir: str) -> str:
+    """Pages of one order each, in two run folders, with the details of the larger parts in both."""
+    landing = new_dir(spark, "landing")
+    lines = table(spark, sf_dir, "lineitem").withColumn("line", F.col("l_linenumber"))
+    day = F.when(F.col("line") == 6, "TBA").when(F.col("line") != 5, F.date_format("l_shipdate", "yyyy-MM-dd"))
+    record = F.struct(F.col("l_partkey").alias("id"), day.alias("released"), F.col("l_quantity").alias("rating"), F.col("line").alias("suggestions_count"))
+    parts = table(spark, sf_dir, "part").where("p_size > 10")
+    details = parts.select(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("description_raw"), F.lit(None).cast("int").alias("rating")).alias("d"))
+    lookups = _lookup(spark, sf_dir).select(F.to_json(F.struct(F.array("raw_data").alias("results"))).alias("value"))
+    for at, run in enumerate(_RUNS):
+        pages = lines.where(F.pmod("line", F.lit(2)) == at).groupBy("l_orderkey").agg(F.collect_list(record).alias("results"))
+        pages.select(F.to_json(F.struct("results", F.lit(None).cast("string").alias("next"))).alias("value")).write.text(f"{landing}/games/{run}")
+        details.select(F.to_json("d").alias("value")).write.text(f"{landing}/details/{run}")
+        for entity in ("genres", "platforms"):
+            lookups.write.text(f"{landing}/{entity}/{run}")
+    return landing
+
+
+@query(
+    "ingest_games",
+    """SELECT run AS ingest_date, l_partkey AS id, strftime(l_shipdate, '%Y-%m-%d') AS released, l_quantity AS rating,
+         l_linenumber AS suggestions_count, CASE WHEN p_size > 10 THEN p_name END AS description
+       FROM lineitem JOIN part ON l_partkey = p_partkey
+       JOIN (SELECT 0 AS half, DATE '1997-06-30' AS run UNION ALL SELECT 1, DATE '1997-08-31')
+         ON l_linenumber % 2 = half AND CAST(l_shipdate AS DATE) BETWEEN run - 59 AND run
+       WHERE l_linenumber NOT IN (5, 6)""",
+)
+def ingest_games(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs from landed pages to bronze, the first of them twice: a run reads its own folder and replaces its own date."""
+    landing, bronze = _landing(spark, sf_dir), new_dir(spark, "bronze")
+    for run in (_RUNS[0], *_RUNS):
+        ingest(spark, landing, bronze, as_of=run, days=60, run=run)
+    got = read_raw(spark, f"{bronze}/games")
+    value = lambda key, kind: F.variant_get("raw_data", f"$.{key}", kind)
+    return got.select(
+        "ingest_date", value("id", "bigint").alias("id"), value("released", "string").alias("released"), value("rating", "double").alias("rating"),
+        value("suggestions_count", "int").alias("suggestions_count"), value("description_raw", "string").alias("description"),
+    )

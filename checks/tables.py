@@ -472,6 +472,21 @@ def brand_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregate.string_agg_distinct(table(spark, sf_dir, "part"), ["p_brand"], "p_type", "types")
 
 
+@query(
+    "string_agg_hot",
+    """SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'half' WHEN l_linenumber < 7 THEN l_returnflag END AS key,
+         coalesce(string_agg(DISTINCT CASE WHEN l_linenumber < 7 THEN CAST(l_orderkey AS VARCHAR) END, '|'
+           ORDER BY CASE WHEN l_linenumber < 7 THEN CAST(l_orderkey AS VARCHAR) END), '') AS orders
+       FROM lineitem GROUP BY 1""",
+)
+def hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key holds half of all rows, and a NULL key has NULL values alone."""
+    some = F.col("l_linenumber") < 7
+    key = F.when(F.col("l_orderkey") % 2 == 0, "half").when(some, F.col("l_returnflag"))
+    rows = spread(table(spark, sf_dir, "lineitem")).select(key.alias("key"), F.when(some, F.col("l_orderkey")).alias("value"))
+    return aggregate.string_agg_distinct(rows, ["key"], "value", "orders", "|")
+
+
 @query(
     "latest_by_key",
     """SELECT o_custkey, o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS day FROM (

@@ -1,10 +1,10 @@
-"""Computing a value once per row."""
+"""Computing a value once per row, and names for it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,3 +16,10 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     of a lambda is not written out.
     """
     return F.transform(F.array(value), use)[0]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first longer one that begins no column's name of ``df``."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name += "_"
+    return name

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from questlake.functions.bound import bound
+from questlake.functions.bound import bound, free_name
 from questlake.functions.numeric import SCALE, rounded_avg
 
 
@@ -27,17 +27,19 @@ def unnest_names(df: DataFrame, names: Column, output: str = "name") -> DataFram
     """One row per array element, NULL names dropped; rows with no elements give none.
 
     ``first_in_row`` marks the first of equal names within a row. The explode is narrow: a row
-    with a long array is expanded where it lies.
+    with a long array is expanded where it lies. Its names are sorted to find the equal ones, so a
+    long array costs little more than its length, and its rows come in the order of the names.
     """
 
-    def marked(all_names: Column) -> Column:
-        def mark(n: Column, i: Column) -> Column:
-            return F.struct(n.alias("name"), (F.array_position(all_names, n) == i + 1).alias("first"))
+    def marked(ordered: Column) -> Column:
+        def mark(e: Column, i: Column) -> Column:
+            return F.struct(e["name"].alias("name"), (~F.get(ordered, i - 1)["name"].eqNullSafe(e["name"])).alias("first"))
 
-        return F.transform(all_names, mark)
+        return F.transform(ordered, mark)
 
+    places = F.transform(names, lambda n, i: F.struct(n.alias("name"), i.alias("at")))
     return (
-        df.withColumn("_element", F.explode(bound(names, marked)))
+        df.withColumn("_element", F.explode(bound(F.array_sort(places), marked)))
         .withColumn(output, F.col("_element.name"))
         .withColumn("first_in_row", F.col("_element.first"))
         .where(F.col(output).isNotNull())
@@ -84,8 +86,14 @@ def string_agg_distinct(
 ) -> DataFrame:
     """Per key the distinct values in order as one string, ``''`` if there are none.
 
-    Values are made distinct before the shuffle and again after it, so a hot key moves its
-    distinct values only.
+    Values are made distinct by key and value, then range partitioned on both: a hot key spreads
+    over as many tasks as its values need, each of which joins a piece of them. Only the pieces meet
+    per key, so no buffer holds more than one task's values and the text that is the result.
     """
-    text = F.array_join(F.array_sort(F.collect_set(F.col(value).cast("string"))), separator)
-    return df.groupBy(*keys).agg(text.alias(output))
+    own = free_name(df, "_value")
+    rows = df.select(*keys, F.col(value).cast("string").alias(own)).distinct().repartitionByRange(*keys, own)
+    task, first, text = (f"{own}_{name}" for name in ("task", "first", "text"))
+    values = F.array_sort(F.collect_list(own))
+    pieces = rows.withColumn(task, F.spark_partition_id()).groupBy(*keys, task).agg(F.min(own).alias(first), F.array_join(values, separator).alias(text))
+    ordered = F.array_sort(F.collect_list(F.when(F.col(first).isNotNull(), F.struct(first, text))))
+    return pieces.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda p: p[text]), separator).alias(output))

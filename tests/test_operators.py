@@ -194,6 +194,23 @@ def test_daily_counts_with_repeated_and_null_keys(spark):
     assert (empty.n, empty.avg, empty.scored) == (1, None, 0)
 
 
+def test_string_agg_of_a_hot_key_in_pieces(spark):
+    rows = spark.range(4000).selectExpr("if(id % 4 = 3, null, 'hot') AS _value", "cast(id % 3000 AS string) AS v")
+    rows = rows.union(spark.createDataFrame([("empty", ""), ("empty", None), ("none", None), ("none", None)], rows.schema)).repartition(5)
+    got = {r._value: r.s for r in aggregate.string_agg_distinct(rows, ["_value"], "v", "s", "|").collect()}
+    want = lambda keep: "|".join(sorted({str(i % 3000) for i in range(4000) if keep(i)}))
+    assert got == {"hot": want(lambda i: i % 4 != 3), None: want(lambda i: i % 4 == 3), "empty": "", "none": ""}
+    assert aggregate.string_agg_distinct(rows.where("false"), ["_value"], "v", "s").collect() == []
+
+
+def test_unnest_marks_first_names_of_long_rows(spark):
+    rows = spark.createDataFrame([(1, ["b", None, "a", "b", None, "a"]), (2, []), (3, None), (4, [None])], "k int, n array<string>")
+    got = [(r.k, r.name, r.first_in_row) for r in aggregate.unnest_names(rows, F.col("n")).collect()]
+    assert sorted(got) == [(1, "a", False), (1, "a", True), (1, "b", False), (1, "b", True)]
+    long = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(200_000)), lambda i: (i % 150_000).cast("string")).alias("n"))
+    assert aggregate.unnest_names(long, F.col("n")).where("first_in_row").count() == 150_000
+
+
 def test_string_agg(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, None)], "k int, v string")
     assert dicts(aggregate.string_agg_distinct(df, ["k"], "v", "s"), "k") == [{"k": 1, "s": "a, b"}, {"k": 2, "s": ""}]

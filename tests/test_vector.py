@@ -127,6 +127,20 @@ def test_default_model():
     assert not np.allclose(one, two)
 
 
+def test_default_model_in_spark_gives_the_same_vectors(spark):
+    model = hashed_words(48)
+    texts = ["Red fox, red_Fox 12", "", "...", None, "Ärger über ÄRGER 東京 x" * 50, "a " * 5000]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for kind in ("document", "query"):
+        table = with_embedding(rows, F.col("t"), model, input_type=kind)
+        assert "Python" not in table._jdf.queryExecution().toString()
+        got = {r.id: r.embedding for r in table.collect()}
+        assert got[3] is None
+        for i, text in enumerate(texts):
+            if text is not None:
+                assert got[i] == model([text], kind)[0].astype(np.float32).tolist()
+
+
 def test_search(spark):
     texts = ["deep space war", "quiet farm life", "space trade"]
     rows = spark.createDataFrame([(i, t, t + "x" * 400) for i, t in enumerate(texts)], "game_id long, name string, description_raw string")
