@@ -1,11 +1,11 @@
 """Exact duplicates: a tree merge of sorted digest runs.
 
 Each input partition is reduced to a run: its digests in order, each with the smallest identifier
-and the number of rows. Nodes of a tree then exchange runs in rounds. In a round, the ``fan``
-nodes that differ in one digit of their number swap rows so that each keeps the digests whose
-bucket has its own digit there, and merges the runs it gets. After the last round each node holds
-the whole group of every digest of its bucket. A digest that is very frequent enters a merge at
-most ``fan`` times, whatever the number of its copies.
+and the number of rows. Nodes of a binomial tree then exchange runs in rounds. In round r, the two
+nodes whose numbers differ in bit r alone swap rows, so that each keeps the digests whose bucket has
+its own bit there, and merges the runs it gets. After the last round each node holds the whole group
+of every digest of its bucket. A digest that is very frequent enters a merge at most twice, whatever
+the number of its copies. A larger ``fan_in`` has more nodes swap at once, in fewer rounds.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ def tree(nodes: int, fan_in: int) -> tuple[int, int]:
     return fan, rounds
 
 
-def exact_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", nodes: int | None = None, fan_in: int = 8) -> DataFrame:
+def exact_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", nodes: int | None = None, fan_in: int = 2) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``keep_id`` (the id that stays of its group), ``group_size``,
     ``kept`` and ``text_sha256``, over texts whose runs of spaces are one space each.
 
@@ -97,7 +97,7 @@ def exact_dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
         own = F.pmod(F.floor(F.col("node") / step), F.lit(fan))
         wanted = F.pmod(F.floor(bucket / step), F.lit(fan))
         runs = runs.withColumn("node", (F.col("node") + (wanted - own) * step).cast("long"))
-        runs = runs.repartition(leaves, "node").sortWithinPartitions("node", *_ORDER).mapInArrow(_merge_runs, schema)
+        runs = runs.repartitionById(leaves, F.col("node").cast("int")).sortWithinPartitions("node", *_ORDER).mapInArrow(_merge_runs, schema)
     groups = written(runs.where("copies > 1").withColumn("key", F.struct(*_KEY)), "groups")
 
     total = F.broadcast(digests.agg(F.count(F.lit(1)).alias("n_all")))
