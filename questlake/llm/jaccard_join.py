@@ -7,10 +7,14 @@ shingles sign in pairs from one of several groups of them: the prefix is extende
 tenth of it is missing in the other set, a rare one or a pair is left. Candidates that short
 fingerprints cannot rule out are verified on whole sets. Equal sets are one class from the start, and each class enters with one set.
 
+A fingerprint holds, for each value of the first bits of a hash, whether the set has an odd number
+of such hashes. Each shingle that only one of two sets has flips one bit, so the bits in which two
+fingerprints differ are no more than the shingles in which the sets do.
+
 Of the documents that share a signature each is first compared with one centre. Documents found
-in different components then are compared with each other, all others are connected already; so a
-large group of near copies costs about one comparison per copy, and no link between two
-components is lost.
+in different components then meet each other, all others are connected already; they are
+told apart by short fingerprints while they are joined, so a large group of near copies costs about one comparison
+per copy, and no link between two components is lost.
 """
 
 from __future__ import annotations
@@ -37,6 +41,9 @@ _SINGLES = 6
 #: Frequent shingles of a prefix that a group of them holds, on average, are about four.
 _GROUP = 53
 _BITS = 26
+#: The bits of a short fingerprint as a power of two, and the columns of longs that hold them.
+_SHORT = 8
+_MASK = [f"mask_{i}" for i in range((1 << _SHORT) // 64)]
 
 
 def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -47,12 +54,15 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.Rec
 
 
 def _scan(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row per document: the key and the size of its set."""
+    """A row per document: the key, the size and the fingerprints of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches, size):
             columns = {n: batch.column(n) for n in ("doc_id", "row", "tag")}
             columns |= {"key": pa.array([set_key(s) for s in sets], pa.binary()), "n": pa.array([len(s) for s in sets], pa.int64())}
+            columns["print"] = pa.array([fingerprint(s, max(_SHORT, len(s).bit_length())) for s in sets], pa.binary())
+            short = np.frombuffer(b"".join(fingerprint(s, _SHORT) for s in sets), "<i8").reshape(-1, len(_MASK))
+            columns |= {name: pa.array(short[:, i]) for i, name in enumerate(_MASK)}
             yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -174,7 +184,7 @@ def _sign(size: int, percent: int, frequent) -> Callable[[Iterator[pa.RecordBatc
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows in order of signature: those of signatures that more than one set has, each with the
-    first of them as ``centre``."""
+    first of them as ``centre``; ``many`` is false only if no set but these two has the signature."""
     held: pa.RecordBatch | None = None
     last = None
     for batch in batches:
@@ -208,7 +218,10 @@ def _with_centres(rows: pa.RecordBatch, following: pa.RecordBatch, last) -> Iter
     keep = ~is_start | same_after
     if going_on:
         keep[0] = True
-    columns = {n: rows.column(n) for n in ("sign", "key", "n", "pos")}
+    many = ~is_start & ((np.arange(len(sign)) > centre + 1) | same_after)
+    if going_on:
+        many[centre == 0] = True
+    columns = {n: rows.column(n) for n in ("sign", "key", "n", "pos")} | {"many": pa.array(many)}
     for name in ("key", "n", "pos"):
         taken = rows.column(name).take(pa.array(centre))
         if going_on:
@@ -219,25 +232,31 @@ def _with_centres(rows: pa.RecordBatch, following: pa.RecordBatch, last) -> Iter
     yield pa.RecordBatch.from_pydict(columns).filter(pa.array(keep))
 
 
-def fingerprint(tokens: np.ndarray) -> bytes:
-    """How many hashes of a set begin with each value of their first bits, in a byte each. There are
-    as many values as the set has members, or up to twice as many."""
-    bits = len(tokens).bit_length()
+def fingerprint(tokens: np.ndarray, bits: int) -> bytes:
+    """For each value of the first ``bits`` bits: whether an odd number of a set's hashes begin with it."""
     counts = np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def least_different(left: bytes, right: bytes) -> int:
+    """No more than the hashes that only one of two sets has, from their fingerprints."""
+    a, b = (np.unpackbits(np.frombuffer(x, np.uint8)) for x in sorted((left, right), key=len))
+    return int(np.count_nonzero(a ^ (b.reshape(len(a), -1).sum(axis=1) & 1)))
 
 
-def most_shared(left: bytes, right: bytes) -> float:
-    """No fewer than two sets share, from their fingerprints."""
-    a, b = (np.frombuffer(x, np.uint8).astype(np.int64) for x in sorted((left, right), key=len))
-    b = b.reshape(len(a), -1).sum(axis=1)
-    both = np.minimum(a, b)
-    return np.inf if len(both) and both.max() >= 255 else float(both.sum())
+def _near(percent: int, different: str, sizes: str) -> str:
+    """Whether sets with so many members in all, of which ``different`` are not shared, are linked."""
+    return f"{100 + percent} * ({different}) <= {100 - percent} * ({sizes})"
 
 
-def _by_fingerprint(left: pa.Scalar, right: pa.Scalar) -> tuple[int, int, float]:
-    a, b = left.as_py(), right.as_py()
-    return sum(a), sum(b), most_shared(a, b)
+def _near_prints(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(n).to_pylist() for n in ("left", "right", "sizes")]
+            keep = [(100 + percent) * least_different(a, b) <= (100 - percent) * n for a, b, n in zip(*columns, strict=True)]
+            yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in ("u", "v")}).filter(pa.array(keep, pa.bool_()))
+
+    return run
 
 
 def _by_set(left: pa.Scalar, right: pa.Scalar) -> tuple[int, int, float]:
@@ -246,21 +265,20 @@ def _by_set(left: pa.Scalar, right: pa.Scalar) -> tuple[int, int, float]:
     return len(a), len(b), int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
 
-def _similar(percent: int, shared: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _similar(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
-                n, m, both = shared(left, right)
+                n, m, both = _by_set(left, right)
                 keep.append((100 + percent) * both >= percent * (n + m))
             yield pa.RecordBatch.from_pydict({n: batch.column(n) for n in ("u", "v")}).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _emit(size: int, wanted, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Sets, or their fingerprints, whose key's first bits are in a bitmap: all that are wanted, and a
-    few more."""
+def _emit(size: int, wanted) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sets whose key's first bits are in a bitmap: all that are wanted, and a few more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = wanted.value
@@ -272,10 +290,9 @@ def _emit(size: int, wanted, whole: bool) -> Callable[[Iterator[pa.RecordBatch]]
                 bit = int.from_bytes(key[:4], "big") >> (32 - _BITS)
                 if len(tokens) and key not in done and bitmap[bit >> 3] >> (bit & 7) & 1:
                     done.add(key)
-                    found[key] = np.sort(tokens.view(np.int64)).view(np.uint64) if whole else fingerprint(tokens)
+                    found[key] = np.sort(tokens.view(np.int64)).view(np.uint64)
             if found:
-                bodies = long_lists(list(found.values())) if whole else pa.array(list(found.values()), pa.binary())
-                yield pa.RecordBatch.from_pydict({"key": pa.array(list(found), pa.binary()), "body": bodies})
+                yield pa.RecordBatch.from_pydict({"key": pa.array(list(found), pa.binary()), "body": long_lists(list(found.values()))})
 
     return run
 
@@ -310,7 +327,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), *([tag] if tag else []))
     kind = dict(texts.dtypes)["doc_id"]
     numbered = texts.withColumns({"row": F.monotonically_increasing_id(), "tag": F.col(tag) if tag else F.lit(0).cast("long")})
-    rows = written(numbered.mapInArrow(_scan(size), f"doc_id {kind}, row long, tag long, key binary, n long"), "sets")
+    rows = written(numbered.mapInArrow(_scan(size), f"doc_id {kind}, row long, tag long, key binary, n long, print binary, {', '.join(f'{c} long' for c in _MASK)}"), "sets")
+    prints = rows.where("n > 0").groupBy("key").agg(*[F.first(c).alias(c) for c in ("n", "print", *_MASK)])
+    prints = written(prints, "prints")
 
     counted = texts.select("text").mapInArrow(_count(size, percent), "sign long, times long")
     counted = written(counted.groupBy("sign").agg(F.sum("times").alias("times")).where(F.col("times") >= _LEAST_FREQUENT), "frequent")
@@ -321,44 +340,55 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
 
     signed = texts.select("text").mapInArrow(_sign(size, percent, frequent), "sign long, key binary, n long, pos long")
     signed = signed.repartition(shuffle_partitions(spark), "sign").dropDuplicates(["sign", "key"])
-    schema = "sign long, key binary, n long, pos long, centre_key binary, centre_n long, centre_pos long"
+    schema = "sign long, key binary, n long, pos long, many boolean, centre_key binary, centre_n long, centre_pos long"
     shared = signed.sortWithinPartitions("sign", "pos", "key").mapInArrow(_shared, schema)
     shared = written(shared, "signatures")
 
-    def compared(pairs: DataFrame, whole: bool) -> DataFrame:
-        """The pairs that may be linked by their fingerprints, or are by their whole sets; only what
-        stands for documents in ``pairs`` leaves its task."""
+    frequent.destroy()
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        """The pairs that may be linked by their fingerprints."""
+        one = pairs.join(prints.select(F.col("key").alias("u"), F.col("n").alias("n_u"), F.col("print").alias("left")), "u")
+        both = one.join(prints.select(F.col("key").alias("v"), F.col("n").alias("n_v"), F.col("print").alias("right")), "v")
+        both = both.select("u", "v", "left", "right", (F.col("n_u") + F.col("n_v")).alias("sizes"))
+        return written(both.mapInArrow(_near_prints(percent), "u binary, v binary"), "possible")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs that are linked by their whole sets; only the sets of pairs that may be leave their task."""
+        pairs = possible(pairs)
         keys = written(pairs.select(F.col("u").alias("key")).union(pairs.select("v")).distinct(), "keys")
         wanted = spark.sparkContext.broadcast(_bitmap(keys))
-        kind = "array<long>" if whole else "binary"
-        emitted = texts.select("text").mapInArrow(_emit(size, wanted, whole), f"key binary, body {kind}")
+        emitted = texts.select("text").mapInArrow(_emit(size, wanted), "key binary, body array<long>")
         bodies = written(emitted.join(keys, "key").groupBy("key").agg(F.first("body").alias("body")), "bodies")
+        wanted.destroy()
         one = pairs.join(bodies.select(F.col("key").alias("u"), F.col("body").alias("left")), "u")
         both = one.join(bodies.select(F.col("key").alias("v"), F.col("body").alias("right")), "v")
-        check = _similar(percent, _by_set if whole else _by_fingerprint)
-        return written(both.select("u", "v", "left", "right").mapInArrow(check, "u binary, v binary"), "links")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        return compared(compared(pairs, whole=False), whole=True)
+        return written(both.select("u", "v", "left", "right").mapInArrow(_similar(percent), "u binary, v binary"), "links")
 
     pair = [F.least("key", "centre_key").alias("u"), F.greatest("key", "centre_key").alias("v")]
     to_centre = written(shared.where("key <> centre_key").where(_possible(percent)).select(*pair).distinct(), "pairs")
     first = verified(to_centre)
     named = written(components(first), "components")
 
-    # Signatures whose sets are in several components yet: those outside the centre's component meet all others.
-    placed = shared.join(named.withColumnsRenamed({"node": "key", "component": "own"}), "key", "left")
+    # Of signatures whose sets are in several components yet, those outside the centre's component
+    # meet all others but the centre, which was compared with each. Short fingerprints rule pairs out in the join.
+    placed = shared.where("many").drop("many").join(named.withColumnsRenamed({"node": "key", "component": "own"}), "key", "left")
     placed = placed.join(named.withColumnsRenamed({"node": "centre_key", "component": "of_centre"}), "centre_key", "left")
     placed = placed.withColumns({"own": F.coalesce("own", "key"), "of_centre": F.coalesce("of_centre", "centre_key")})
-    placed = written(placed.select("sign", "key", "n", "pos", "own", "of_centre"), "placed")
-    outer = placed.where("own <> of_centre").selectExpr("sign", "key AS centre_key", "n AS centre_n", "pos AS centre_pos", "own AS centre_own")
-    meet = placed.join(outer, "sign").where("own <> centre_own AND (own = of_centre OR key < centre_key)").where(_possible(percent))
+    placed = written(placed.select("sign", "key", "pos", "own", (F.col("own") != F.col("of_centre")).alias("outer")), "placed")
+    open_ = placed.groupBy("sign").agg(F.max("outer").alias("open")).where("open").select("sign")
+    placed = written(placed.join(open_, "sign", "left_semi").join(prints.select("key", "n", *_MASK), "key"), "met")
+    names = {c: f"centre_{c}" for c in ("key", "n", "pos", "own", *_MASK)}
+    outer = placed.where("outer").select("sign", *[F.col(c).alias(name) for c, name in names.items()])
+    different = " + ".join(f"bit_count({c} ^ centre_{c})" for c in _MASK)
+    meet = placed.join(outer, "sign").where("own <> centre_own AND (NOT outer OR key < centre_key)")
+    meet = meet.where(_possible(percent)).where(_near(percent, different, "n + centre_n"))
     second = verified(written(meet.select(*pair).distinct().join(to_centre, ["u", "v"], "left_anti"), "pairs"))
     links = first.union(second)
     named = components(links).withColumnRenamed("node", "key")
 
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("row")))
-    some = rows.where("n > 0")
+    some = rows.where("n > 0").select("doc_id", "row", "tag", "key", "n")
     classes = written(some.groupBy("key").agg(least.alias("least"), F.count(F.lit(1)).alias("class_size")), "classes")
     joined = classes.join(named, "key", "left").withColumn("component", F.coalesce("component", "key"))
     heads = joined.join(named.select("component").distinct(), "component", "left_semi")

@@ -14,7 +14,7 @@ from questlake.llm import jaccard_join, mixing
 from questlake.llm.decontaminate import SuffixAutomaton
 from questlake.llm.exact_dedup import exact_dedup
 from questlake.llm.fm_index import FMIndex, WaveletTree, first_owners
-from questlake.llm.jaccard_join import fingerprint, most_shared, near_duplicates, signatures, tagged
+from questlake.llm.jaccard_join import fingerprint, least_different, near_duplicates, signatures, tagged
 from questlake.llm.mixing import mix
 from questlake.llm.queries import QUERIES
 from questlake.llm.shingles import words_of
@@ -186,7 +186,8 @@ def test_similar_sets_share_a_signature():
         shared = -(-9 * n // 10)
         b = np.sort(np.r_[rng.permutation(a)[:shared], rng.integers(0, 1 << 63, int(rng.integers(0, max(1, n // 20))), dtype=np.uint64)])
         both = len(np.intersect1d(a, b))
-        assert most_shared(fingerprint(a), fingerprint(b)) >= both
+        for bits in ((8, 8), (8, 10), (len(a).bit_length(), len(b).bit_length())):
+            assert least_different(fingerprint(a, max(3, bits[0])), fingerprint(b, max(3, bits[1]))) <= len(a) + len(b) - 2 * both
         if 100 * both >= 90 * (len(a) + len(b) - both):
             (x, px), (y, py) = signatures(a, heavy), signatures(b, heavy)
             common, i, j = np.intersect1d(x, y, return_indices=True)
