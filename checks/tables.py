@@ -23,6 +23,7 @@ from questlake.operators.vector import cosine_topk, cosine_topk_batch
 from questlake.plans.staged import read_staged, stage_new_batches
 from questlake.plans.staging import extract
 from questlake.session import new_dir
+from questlake.sources.bucketed import pending_in_buckets, write_bucketed
 from questlake.sources.jsonl import entity_path, load_summary, read_raw, read_rejects, write_bronze
 from questlake.sources.pages import page_results as results_of_pages
 from questlake.sources.retention import expired_dates
@@ -297,6 +298,19 @@ def pending_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending_rows(source, stored, "doc_id", filled="embedding")
 
 
+@query(
+    "pending_rows_bucketed",
+    """SELECT doc_id, lang FROM documents WHERE trim(text) <> ''
+       AND NOT EXISTS (SELECT 1 FROM embeddings WHERE vec_id = doc_id AND embedding IS NOT NULL)""",
+)
+def pending_documents_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``pending_rows``, against vectors stored in buckets of their id, which are not shuffled."""
+    source = table(spark, sf_dir, "documents").where(non_blank(F.col("text"))).select("doc_id", "lang")
+    path, buckets = new_dir(spark, "vectors"), 32
+    stored = write_bucketed(table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "doc_id"), path.rsplit("/", 1)[1].replace("-", "_"), path, "doc_id", buckets)
+    return pending_in_buckets(source, stored, "doc_id", buckets, filled="embedding")
+
+
 @query(
     "enrich_merge",
     """SELECT c_custkey AS id, c_name AS name, CASE WHEN o_orderkey IS NULL THEN c_acctbal END AS rating,
