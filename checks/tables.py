@@ -23,7 +23,7 @@ from questlake.operators.vector import cosine_topk, cosine_topk_batch
 from questlake.plans.staged import read_staged, stage_new_batches
 from questlake.plans.staging import extract
 from questlake.session import new_dir
-from questlake.sources.bucketed import pending_in_buckets, write_bucketed
+from questlake.sources.bucketed import pending_in_buckets, upsert_in_buckets, write_bucketed
 from questlake.sources.jsonl import entity_path, load_summary, read_raw, read_rejects, write_bronze
 from questlake.sources.pages import page_results as results_of_pages
 from questlake.sources.retention import expired_dates
@@ -339,15 +339,13 @@ def enrich_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(enrich_merge(records, details, "c_custkey"), fields)
 
 
-@query(
-    "upsert_by_key",
-    """SELECT coalesce(vec_id, doc_id) AS id, CASE WHEN doc_id IS NULL THEN 'old' ELSE source END AS name,
+_UPSERT_SQL = """SELECT coalesce(vec_id, doc_id) AS id, CASE WHEN doc_id IS NULL THEN 'old' ELSE source END AS name,
          CASE WHEN doc_id IS NULL THEN 0 ELSE n_chars END AS n_chars, label, embedding IS NOT NULL AS has_embedding,
          CASE WHEN doc_id IS NULL THEN DATE '2026-01-05' ELSE DATE '2026-01-12' END AS synced_on
-       FROM embeddings FULL JOIN documents ON doc_id = vec_id""",
-)
-def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document metadata into the vector table: stored rows keep label and vector."""
+       FROM embeddings FULL JOIN documents ON doc_id = vec_id"""
+
+
+def _stored_and_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     target = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"),
         F.lit("old").alias("name"),
@@ -357,10 +355,34 @@ def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(dt.date(2026, 1, 5)).alias("synced_on"),
     )
     source = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("name"), "n_chars")
+    return target, source
+
+
+@query(
+    "upsert_by_key",
+    _UPSERT_SQL,
+)
+def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document metadata into the vector table: stored rows keep label and vector."""
+    target, source = _stored_and_new(spark, sf_dir)
     merged = upsert_by_key(target, source, "id", ["name", "n_chars"], {"synced_on": F.lit(dt.date(2026, 1, 12))})
     return merged.withColumn("has_embedding", F.col("embedding").isNotNull()).drop("embedding")
 
 
+@query("upsert_bucketed", _UPSERT_SQL)
+def upsert_documents_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same into vectors stored in buckets of their id, and read back from the buckets that it writes."""
+    target, source = _stored_and_new(spark, sf_dir)
+    buckets = 32
+
+    def stored(df: DataFrame, aligned: bool) -> DataFrame:
+        path = new_dir(spark, "vectors")
+        return write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, "id", buckets, aligned)
+
+    merged = upsert_in_buckets(stored(target, False), source, "id", buckets, ["name", "n_chars"], {"synced_on": F.lit(dt.date(2026, 1, 12))})
+    return stored(merged, True).withColumn("has_embedding", F.col("embedding").isNotNull()).drop("embedding")
+
+
 @query(
     "update_by_key",
     """SELECT d.doc_id, lang, CASE WHEN l.doc_id IS NULL THEN -1 ELSE quality END AS quality, toxic

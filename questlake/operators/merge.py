@@ -61,24 +61,34 @@ def upsert_by_key(
     row only in ``source`` is inserted with what ``source`` has. ``stamps`` are set on every
     row that came from ``source``. Keys must be unique on both sides.
     """
-    stamps = stamps or {}
     left = _spread_nulls(target, key).withColumn("_old", F.lit(True))
-    right = _spread_nulls(source, key).select(
-        key, _SPREAD, *[F.col(c).alias(f"_new_{c}") for c in source.columns if c != key]
-    ).withColumn("_new", F.lit(True))
-    joined = left.join(right, [key, _SPREAD], "full_outer")
+    joined = left.join(incoming(_spread_nulls(source, key), [key, _SPREAD]), [key, _SPREAD], "full_outer")
+    return merged_rows(joined, target.columns, source.columns, key, update, stamps)
+
+
+def incoming(source: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The source side of an upsert's join: all but the join columns renamed, and marked ``_new``."""
+    return source.select(*on, *[F.col(c).alias(f"_new_{c}") for c in source.columns if c not in on]).withColumn("_new", F.lit(True))
+
+
+def merged_rows(
+    joined: DataFrame, columns: Sequence[str], given: Sequence[str], key: str, update: Sequence[str], stamps: dict[str, Column] | None = None
+) -> DataFrame:
+    """The rows of an upsert from a full join of the target, marked ``_old``, with ``incoming`` rows
+    that have the columns ``given``."""
+    stamps = stamps or {}
 
     def merged(name: str) -> Column:
         if name == key:
             return F.col(key)
         if name in stamps:
             return F.when(F.col("_new"), stamps[name]).otherwise(F.col(name)).alias(name)
-        if name not in source.columns:
+        if name not in given:
             return F.col(name)
         taken = F.col("_new") if name in update else F.col("_new") & F.col("_old").isNull()
         return F.when(taken, F.col(f"_new_{name}")).otherwise(F.col(name)).alias(name)
 
-    return joined.select(*[merged(c) for c in target.columns])
+    return joined.select(*[merged(c) for c in columns])
 
 
 def update_by_key(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:

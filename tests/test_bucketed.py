@@ -2,9 +2,10 @@ import re
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
-from questlake.operators.merge import pending_rows
-from questlake.sources.bucketed import open_bucketed, pending_in_buckets, write_bucketed
+from questlake.operators.merge import pending_rows, upsert_by_key
+from questlake.sources.bucketed import open_bucketed, pending_in_buckets, upsert_in_buckets, write_bucketed
 
 
 @pytest.fixture
@@ -56,3 +57,21 @@ def test_an_empty_table_leaves_all_pending(spark, source, tmp_path):
     none = write_bucketed(spark.createDataFrame([], "id long, v string"), name, f"{tmp_path}/e", "id", 4)
     assert pending_in_buckets(source, none, "id", 4).count() == source.count()
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_upsert_equals_the_plain_one_and_shuffles_the_source_only(spark, stored, source, tmp_path):
+    new = source.where("n <> 7").select("id", F.concat(F.lit("new"), "n").alias("v"))
+    for update in (["v"], []):
+        plain = upsert_by_key(stored[0], new, "id", update, {"v": F.lit("s")} if not update else None)
+        merged = upsert_in_buckets(stored[0], new, "id", 16, update, {"v": F.lit("s")} if not update else None)
+        assert sorted(merged.collect(), key=str) == sorted(plain.collect(), key=str)
+    merged = upsert_in_buckets(stored[0], new, "id", 16, ["v"])
+    assert merged._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    name = f"merged_{uuid.uuid4().hex}"
+    again = write_bucketed(merged, name, f"{tmp_path}/m", "id", 16, aligned=True)
+    assert sorted(again.collect(), key=str) == sorted(merged.collect(), key=str)
+    files = [r.f for r in again.where("id IS NOT NULL").selectExpr("input_file_name() f").distinct().collect()]
+    assert len(files) == len({re.search(r"_(\d{5})", f).group(1) for f in files}) <= 16
+    left = pending_in_buckets(new, again, "id", 16).collect()
+    assert {r.id for r in left} == {None}
+    spark.sql(f"DROP TABLE {name}")
