@@ -365,7 +365,9 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bronze_of_latest(spark: SparkSession, sf_dir: str) -> str:
     """The latest record of each game, and the lookups, as bronze files of one date."""
     bronze, day = new_dir(spark, "bronze"), F.lit(dt.date(2026, 1, 5)).alias("ingest_date")
-    raw = raw_games(spark, sf_dir).withColumn("_id", F.variant_get("raw_data", "$.id", "bigint"))
+    # Line items are cut to the latest of each part first: documents are built, sorted and shuffled for those alone.
+    lines = latest_by_key(table(spark, sf_dir, "lineitem"), ["l_partkey"], F.col("l_shipdate"), [F.desc(c) for c in _TIES])
+    raw = game_documents(lines, table(spark, sf_dir, "part")).withColumn("_id", F.variant_get("raw_data", "$.id", "bigint"))
     latest = latest_by_key(raw, ["_id"], F.col("loaded_at"), [F.desc(c) for c in _TIES])
     write_bronze(latest.select("raw_data", day), bronze, "games")
     for entity in ("genres", "platforms"):
