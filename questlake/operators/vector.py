@@ -15,6 +15,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,8 @@ MAX_LIMIT = 20
 
 QUERY_BYTES = 64 << 20
 CHUNK_ROWS = 50_000
+#: Queries that meet rows at a time, and distances that are held at a time.
+QUERY_SLICE, SLICE_CELLS = 1024, 1_000_000
 
 
 def clamp_limit(limit: object = None) -> int:
@@ -42,11 +45,29 @@ def local_topk(k: int, dims: int) -> Callable:
     """A function ``(matrix of unit queries, record batches) -> (query, key, distance)`` arrays
     with the best ``k`` rows per query over all the batches. Batches hold key and vector."""
 
+    digits, zero = 1e10, 40_000_000_000
+
+    def merged(best: tuple | None, queries: np.ndarray, keys: np.ndarray, unit: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
+        """The best rows so far of a slice of queries, with ``unit`` rows taken in."""
+        with np.errstate(invalid="ignore"):
+            dist = 1.0 - queries @ unit.T
+        ticks = np.where(np.isnan(dist), zero, np.rint(dist * digits)).astype(np.int64)
+        if ticks.shape[1] > k:
+            # One integer per row orders by distance, then by key.
+            order = ticks * step + np.arange(ticks.shape[1])
+            pick = np.argpartition(order, k, axis=1)[:, :k]
+        else:
+            pick = np.broadcast_to(np.arange(ticks.shape[1]), ticks.shape)
+        all_d, all_k = np.take_along_axis(ticks, pick, axis=1), keys[pick]
+        if best is not None:
+            all_d, all_k = np.concatenate([best[0], all_d], axis=1), np.concatenate([best[1], all_k], axis=1)
+        keep = np.lexsort((all_k, all_d), axis=1)[:, :k]
+        return np.take_along_axis(all_d, keep, axis=1), np.take_along_axis(all_k, keep, axis=1)
+
     def run(queries: np.ndarray, batches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        digits, zero, none = 1e10, 40_000_000_000, 50_000_000_000
-        best_d = np.full((len(queries), 0), none, dtype=np.int64)
-        best_k = None
-        step = max(1, min(10_000, 4_000_000 // max(1, len(queries))))
+        starts = range(0, len(queries), QUERY_SLICE)
+        best: list[tuple | None] = [None] * len(starts)
+        step = max(1, min(10_000, SLICE_CELLS // max(1, min(len(queries), QUERY_SLICE))))
         for batch in batches:
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
@@ -57,27 +78,14 @@ def local_topk(k: int, dims: int) -> Callable:
                     raise ValueError(f"vectors must all have {dims} elements")
                 rows = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
                 by_key = np.argsort(keys, kind="stable")
-                keys, rows = keys[by_key], rows[by_key]
-                norms = np.sqrt((rows * rows).sum(axis=1))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    dist = 1.0 - queries @ (rows / norms[:, None]).T
-                ticks = np.where(np.isnan(dist), zero, np.rint(dist * digits)).astype(np.int64)
-                if ticks.shape[1] > k:
-                    # One integer per row orders by distance, then by key.
-                    order = ticks * step + np.arange(ticks.shape[1])
-                    pick = np.argpartition(order, k, axis=1)[:, :k]
-                else:
-                    pick = np.broadcast_to(np.arange(ticks.shape[1]), ticks.shape)
-                new_d, new_k = np.take_along_axis(ticks, pick, axis=1), keys[pick]
-                all_d = np.concatenate([best_d, new_d], axis=1)
-                all_k = new_k if best_k is None else np.concatenate([best_k, new_k], axis=1)
-                keep = np.lexsort((all_k, all_d), axis=1)[:, :k]
-                best_d, best_k = np.take_along_axis(all_d, keep, axis=1), np.take_along_axis(all_k, keep, axis=1)
-        if best_k is None:
+                keys, unit = keys[by_key], unit_rows(rows[by_key])
+                for i, start in enumerate(starts):
+                    best[i] = merged(best[i], queries[start : start + QUERY_SLICE], keys, unit, step)
+        if not best or best[0] is None:
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), np.empty(0)
-        distance = np.where(best_d == zero, np.nan, best_d / digits)
-        index = np.repeat(np.arange(len(queries)), best_d.shape[1])
-        return index, best_k.ravel(), distance.ravel()
+        index = np.repeat(np.arange(len(queries)), best[0][0].shape[1])
+        ticks, found = (np.concatenate([b[j].ravel() for b in best]) for j in (0, 1))
+        return index, found, np.where(ticks == zero, np.nan, ticks / digits)
 
     return run
 
@@ -171,8 +179,9 @@ def cosine_topk_batch(
     def task(batches):
         query_ids, matrix = shared.value
         index, keys, distance = search(matrix, batches)
-        if len(keys):
-            columns = [query_ids.take(pa.array(index)), pa.array(keys), pa.array(distance)]
+        for at in range(0, len(keys), CHUNK_ROWS):
+            some = slice(at, at + CHUNK_ROWS)
+            columns = [query_ids.take(pa.array(index[some])), pa.array(keys[some]), pa.array(distance[some])]
             yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return _best(_present(vectors, key, vector).mapInArrow(task, schema), query_key, key, k)
@@ -195,8 +204,10 @@ def _blocked_topk(
 
     def task(vector_rows: pa.Table, query_rows: pa.Table) -> pa.Table:
         ids = query_rows.column(0).combine_chunks()
-        matrix = np.vstack(query_rows.column(1).to_numpy()) if len(ids) else np.empty((0, 1))
-        unit = matrix / np.sqrt((matrix.astype(np.float64) ** 2).sum(axis=1))[:, None] if len(ids) else matrix
+        given = query_rows.column(1).combine_chunks()
+        if len(pc.unique(pc.list_value_length(given))) > 1:
+            raise ValueError("query vectors must all have the same number of elements")
+        unit = unit_rows(given.flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)) if len(ids) else np.empty((0, 1))
         index, keys, distance = search(unit, vector_rows.select([0, 1]).to_batches() if len(ids) else [])
         columns = [ids.take(pa.array(index)), pa.array(keys, type=vector_rows.column(0).type), pa.array(distance)]
         return pa.Table.from_arrays(columns, names=[query_key, key, "distance"])

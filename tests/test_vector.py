@@ -1,12 +1,14 @@
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from questlake.operators.cells import build_cells, refresh_cells, search_cells
 from questlake.operators.embed import hashed_words, with_embedding
-from questlake.operators.vector import clamp_limit, cosine_topk, cosine_topk_batch
+from questlake.operators.vector import clamp_limit, cosine_topk, cosine_topk_batch, local_topk, unit_rows
 from questlake.plans.embed_sync import embed_query, search
 
 DIMS = 8
@@ -153,3 +155,19 @@ def test_search(spark):
     assert got[0].similarity > got[1].similarity
     with pytest.raises(ValueError):
         embed_query(spark, "  ", embed)
+
+
+def test_many_queries_are_met_in_slices():
+    queries, rows = (unit_rows(np.random.default_rng(seed).normal(size=(n, 8))) for seed, n in ((1, 20_000), (2, 300)))
+    keys = np.random.default_rng(3).permutation(300)
+    batch = pa.record_batch([pa.array(keys), pa.array(list(rows))], ["key", "vector"])
+    tracemalloc.start()
+    index, found, distance = local_topk(3, 8)(queries, [batch])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20  # all queries at once held 130 MB
+    exact = np.round(1 - queries @ rows.T, 10)
+    order = np.lexsort((np.broadcast_to(keys, exact.shape), exact), axis=1)[:, :3]
+    assert (index == np.repeat(np.arange(20_000), 3)).all()
+    assert (found == keys[order].ravel()).all()
+    assert np.allclose(distance, np.take_along_axis(exact, order, axis=1).ravel(), atol=1e-9)
