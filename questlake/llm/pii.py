@@ -29,11 +29,20 @@ EXPRESSIONS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: What a text must hold if any match of a kind can count; looked for first, as most texts hold none of it.
+#: Cards of fewer than four digits are too short to count, valid or not.
+_MARKS = {
+    "email": "@",
+    "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]",
+    "card": r"[0-9](?:[\x20-]?[0-9]){3}",
+    "phone": r"\+[0-9]",
+}
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: A token that may be an identifier: a run without separators that holds two digits.
 _SEPARATORS = r"""\x00-\x20="'(),;:<>\[\]{}|"""
 _RUN = rf"[^{_SEPARATORS}]"
 _TOKEN = rf"(?<!{_RUN})[^{_SEPARATORS}0-9]*+[0-9][^{_SEPARATORS}0-9]*+[0-9]{_RUN}*+"
+_TOKEN_MARK = rf"[0-9][^{_SEPARATORS}0-9]*+[0-9]"
 #: Letters that a pattern's word is looked for in, and lengths of what can be an identifier.
 _CONTEXT, _SHORTEST, _LONGEST = 80, 6, 128
 #: Rounds of scoring; seeds that a pattern needs; how far a pattern and a shape must be trusted.
@@ -57,9 +66,14 @@ def _valid(kind: Column, hit: Column) -> Column:
     return F.when(kind == 0, True).when(kind == 1, ip).when(kind == 2, card).when(kind == 3, F.length(digits).between(8, 15)).otherwise(True)
 
 
-def _matches(kind: int, expression: str) -> Column:
-    """Matches of a kind, each with the length of the text between it and the match before."""
-    hits = F.regexp_extract_all("text", F.lit(expression), F.lit(0))
+def _hits(expression: str, mark: str) -> Column:
+    """Matches in the texts that hold ``mark``, NULL for the others."""
+    marked = F.contains("text", F.lit(mark)) if len(mark) == 1 else F.col("text").rlike(mark)
+    return F.when(marked, F.regexp_extract_all("text", F.lit(expression), F.lit(0)))
+
+
+def _matches(kind: int, expression: str, hits: Column) -> Column:
+    """``hits`` of a kind, each with the length of the text between it and the match before."""
     gaps = F.transform(F.split("text", expression, -1), F.length)
     none = F.lit(None).cast("string")
     return F.zip_with(
@@ -69,9 +83,8 @@ def _matches(kind: int, expression: str) -> Column:
     )
 
 
-def _tokens(kind: int) -> Column:
+def _tokens(kind: int, hits: Column) -> Column:
     """As ``_matches``, of tokens, with the words before and after each."""
-    hits = F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0))
     word_before = lambda p: F.lower(F.regexp_extract(F.right(p, F.lit(_CONTEXT)), rf"({_RUN}+)[{_SEPARATORS}]*$", 1))
     word_after = lambda p: F.lower(F.regexp_extract(F.left(p, F.lit(_CONTEXT)), rf"^[{_SEPARATORS}]*({_RUN}+)", 1))
     pieces = F.transform(F.split("text", _TOKEN, -1), lambda p: F.struct(F.length(p).alias("gap"), word_before(p).alias("before"), word_after(p).alias("after")))
@@ -130,8 +143,13 @@ def find_personal_data(
     count by their nearest 80, and tokens of over 128 characters are no identifiers by context.
     """
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    found = F.concat(*[_matches(at, EXPRESSIONS[kind]) for at, kind in enumerate(KINDS[:4])], _tokens(4))
-    scanned = written(texts.select("doc_id", "row", found.alias("found")), "matches")
+    # A text is split by an expression only if that matches in it. Hits are columns of their own, so that none is looked for twice.
+    hits = {f"hits{at}": _hits(EXPRESSIONS[kind], _MARKS[kind]) for at, kind in enumerate(KINDS[:4])}
+    marked = texts.withColumns(hits | {"hits4": _hits(_TOKEN, _TOKEN_MARK)})
+    pieces = [*[_matches(at, EXPRESSIONS[kind], F.col(f"hits{at}")) for at, kind in enumerate(KINDS[:4])], _tokens(4, F.col("hits4"))]
+    none = F.expr("cast(array() AS array<struct<kind:int,at:int,hit:string,gap:int,before:string,after:string>>)")
+    found = F.concat(*[F.when(F.size(f"hits{at}") > 0, piece).otherwise(none) for at, piece in enumerate(pieces)])
+    scanned = written(marked.select("doc_id", "row", found.alias("found")), "matches")
 
     each = scanned.where("size(found) > 0").select("row", F.inline("found"))
     end = F.sum(F.col("gap") + F.length("hit")).over(Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
