@@ -17,8 +17,9 @@ _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BASES = [(b, pow(b, -1, 1 << 64)) for b in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.array([b | 0x20 if 0x41 <= b <= 0x5A else b for b in range(256)], np.uint8)
-#: Bytes of text that are tokenised at a time, unless one document has more, and hashed at a time.
-_PIECE, _BLOCK = 2 << 20, 1 << 20
+#: Bytes of text that are tokenised at a time, unless one document has more, and hashed at a time. A piece's
+#: arrays take some 100 times its bytes.
+_PIECE, _BLOCK = 256 << 10, 256 << 10
 
 
 def mixed(keys: np.ndarray) -> np.ndarray:

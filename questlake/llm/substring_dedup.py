@@ -198,10 +198,14 @@ def _whole(bitmap) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBat
         for batch in batches:
             touched = _touched(batch, bitmap.value)
             rest = batch.filter(pa.array([not t for t in touched]))
-            words = [(t or b"").split() for t in texts_of(rest.column("text"))]
-            columns = {"doc_id": rest.column("doc_id"), "n_words": pa.array([len(w) for w in words], pa.int64())}
-            columns |= {"n_removed": pa.array([0] * len(words), pa.int64())}
-            yield pa.RecordBatch.from_pydict(columns | {"kept_text": pa.array([b" ".join(w).decode() for w in words], pa.string())})
+            counts, kept = [], []
+            for text in texts_of(rest.column("text")):  # one text's words at a time
+                words = (text or b"").split()
+                counts.append(len(words))
+                kept.append(b" ".join(words))
+            columns = {"doc_id": rest.column("doc_id"), "n_words": pa.array(counts, pa.int64())}
+            columns |= {"n_removed": pa.array([0] * len(counts), pa.int64())}
+            yield pa.RecordBatch.from_pydict(columns | {"kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
 
     return run
 
