@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from heapq import merge
-from itertools import groupby
+from itertools import compress, groupby
 from operator import itemgetter
 from zlib import crc32
 
@@ -138,10 +138,13 @@ def _unpacked(run: bytes) -> tuple[bytes, np.ndarray, np.ndarray, bytes]:
 
 
 class _Vocabulary:
-    """The words behind the ids of a task: their order, their CRCs and their bytes."""
+    """The words behind those ids of a task that some windows have: their order, their CRCs and their bytes."""
 
-    def __init__(self, ids: _Ids):
-        words = list(ids)
+    def __init__(self, ids: _Ids, windows: np.ndarray):
+        used = np.zeros(len(ids), bool)
+        used[windows] = used[0] = True
+        self.place = np.cumsum(used) - 1
+        words = [*compress(ids, used.tolist())]
         words[0] = b""
         self.rank = np.empty(len(words), np.int64)
         self.rank[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
@@ -208,12 +211,11 @@ class _Task:
 
     def finish(self) -> Iterator[pa.RecordBatch]:
         yield from self.spill(0)
-        known = _Vocabulary(self.ids)
         for lang, counts in self.words.items():
             some = np.flatnonzero(counts)
             if len(some):
                 zero = np.zeros(len(some), np.int64)
-                yield self.runs(lang, np.stack([some, zero, zero, zero], axis=1), counts[some], known, single=True)
+                yield self.runs(lang, np.stack([some, zero, zero, zero], axis=1), counts[some], single=True)
         self._reset()
 
     def spill(self, leave: int) -> Iterator[pa.RecordBatch]:
@@ -229,14 +231,15 @@ class _Task:
             self.n_windows -= size
             child = self.tries[lang].children.pop(head)
             chosen.setdefault(lang, []).extend(child.containers() if isinstance(child, HatTrie) else [child])
-        known = _Vocabulary(self.ids) if chosen else None
         for lang, containers in chosen.items():
             keys = [k for c in containers for k in c]
             if keys:
-                yield self.runs(lang, _windows(keys), np.concatenate([np.fromiter(c.values(), np.int64) for c in containers]), known)
+                yield self.runs(lang, _windows(keys), np.concatenate([np.fromiter(c.values(), np.int64) for c in containers]))
 
-    def runs(self, lang: str, windows: np.ndarray, times: np.ndarray, known: _Vocabulary, single: bool = False) -> pa.RecordBatch:
+    def runs(self, lang: str, windows: np.ndarray, times: np.ndarray, single: bool = False) -> pa.RecordBatch:
         """One row per slice, its windows in order of their words' bytes; with ``single`` they are words."""
+        known = _Vocabulary(self.ids, windows)
+        windows = known.place[windows]
         first = known.crcs[windows[:, 0]] << np.uint64(32) | known.crcs[windows[:, 1]]
         of_slice = (mixed(first) % np.uint64(self.slices)).astype(np.int64)
         ranked = known.rank[windows]
@@ -320,20 +323,24 @@ def _phrases(runs: list[bytes], least: Sequence[int]) -> Iterator[tuple[bytes, i
 
 def _merge(least: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Merges one slice after the other; rows come sorted by language and slice. ``least`` are the counts that
-    phrases of two, three and four words need; single words are held to the last."""
-    schema = pa.schema([("lang", pa.string()), ("head", pa.binary()), ("n", pa.int64())])
+    phrases of two, three and four words need; single words are held to the last. Phrases are named here: a second
+    pass over the same rows would be a second worker for each task."""
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
+
+    def merged(lang: str, runs: list[bytes]) -> pa.RecordBatch:
+        return _batch([(lang, phrase.translate(_NAMED).decode(), n) for phrase, n in _phrases(runs, least)], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, runs = None, []
         for batch in batches:
-            for lang, of_slice, packed in zip(*(batch.column(c).to_pylist() for c in ("lang", "slice", "run")), strict=True):
-                if (lang, of_slice) != key:
+            for lang, of_slice, packed in zip(*(batch.column(c) for c in ("lang", "slice", "run")), strict=True):
+                if (lang.as_py(), of_slice.as_py()) != key:
                     if runs:
-                        yield _batch([(key[0], *found) for found in _phrases(runs, least)], schema)
-                    key, runs = (lang, of_slice), []
-                runs.append(packed)
+                        yield merged(key[0], runs)
+                    key, runs = (lang.as_py(), of_slice.as_py()), []
+                runs.append(packed.as_py())
         if runs:
-            yield _batch([(key[0], *found) for found in _phrases(runs, least)], schema)
+            yield merged(key[0], runs)
 
     return run
 
@@ -364,12 +371,6 @@ def _split(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
-def _name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        phrases = [head.translate(_NAMED).decode() for head in batch.column("head").to_pylist()]
-        yield pa.RecordBatch.from_pydict({"lang": batch.column("lang"), "phrase": pa.array(phrases, pa.string()), "n": batch.column("n")})
-
-
 def phrase_counts(
     docs: DataFrame,
     *,
@@ -395,7 +396,7 @@ def phrase_counts(
     runs = written(rows.mapInArrow(_count(longest, full, slices), _RUN_SCHEMA), "runs")
     total, words = runs.agg(F.sum("n")).first()[0] or 0, runs.groupBy("lang").agg(F.sum("words").alias("n"))
     limit = max(split_windows, total // SPLIT_SHARE)
-    schema, found = "lang string, head binary, n long", []
+    schema, found = "lang string, phrase string, n long", []
     for whole in (False, True, None):
         large = runs.groupBy("lang", "slice").agg(F.sum("n").alias("n")).where(F.col("n") > limit)
         large = large.select("lang", "slice", F.least(F.ceil(F.col("n") / limit), F.lit(1 << 20)).alias("pieces"))
@@ -405,7 +406,7 @@ def phrase_counts(
         if whole is None:
             # Windows of one prefix are in several pieces here: what is shorter than a window is summed first.
             parts = fits.mapInArrow(_merge([1, 1, least]), schema)
-            found.append(parts.groupBy("lang", "head").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+            found.append(parts.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
         else:
             found.append(fits.mapInArrow(_merge([least] * 3), schema))
         if not more:
@@ -414,7 +415,7 @@ def phrase_counts(
     counts = found[0]
     for part in found[1:]:
         counts = counts.unionByName(part)
-    return counts.mapInArrow(_name, "lang string, phrase string, n long"), words
+    return counts, words
 
 
 def _key(phrase: Column) -> Column:
