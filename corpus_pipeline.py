@@ -19,7 +19,7 @@ from questlake.llm.jaccard_join import near_duplicates
 from questlake.llm.mixing import mix
 from questlake.llm.quality import fit_quality, score_quality
 from questlake.llm.sharding import read_shards, shuffle_to_files
-from questlake.session import new_dir, share_code
+from questlake.session import bound_batches, new_dir, share_code
 
 SHARDS = 8
 #: The stage's own rule of near copies, wider than that of op7's query: words a shingle, shared shingles in a hundred of both sets.
@@ -85,6 +85,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def _shared(stage: Stage) -> Stage:
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         share_code(spark)
+        bound_batches(spark)
         return stage(spark, docs, sf_dir)
 
     return run_stage

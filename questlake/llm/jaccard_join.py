@@ -85,7 +85,13 @@ def _count(size: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
     that several sets of the chunk have, as a large family of copies runs through its whole sets."""
 
     def counted(whole: list[np.ndarray], prefixes: list[np.ndarray]) -> pa.RecordBatch:
-        signs, times = np.unique(np.concatenate(whole), return_counts=True)
+        signs = np.concatenate(whole)
+        whole.clear()
+        signs.sort()
+        first = np.flatnonzero(np.r_[True, signs[1:] != signs[:-1]])
+        times = np.diff(first, append=len(signs))
+        signs = signs[first]
+        del first
         keep = (times > 1) | members(signs, np.unique(np.concatenate(prefixes)))
         return pa.RecordBatch.from_pydict({"sign": longs(signs[keep]), "times": pa.array(times[keep].astype(np.int64))})
 

@@ -21,6 +21,8 @@ SEED = 41
 BUCKET_BYTES = 32 << 20
 #: More buckets are never made: what is broadcast to readers is one small row per bucket.
 MOST_BUCKETS = 1 << 20
+#: Rows that leave a bucket at a time.
+_OUT = 500
 _OWN = ("shard_bucket", "shard_order", "shard_place", "shard", "slot")
 
 
@@ -54,13 +56,16 @@ def _scatter(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 
 def _shuffled(rows: list[pa.RecordBatch], bucket: int, seed: int) -> Iterator[pa.RecordBatch]:
+    """The rows in random order. ``rows`` is emptied, so that one copy of the bucket is held."""
     table = pa.Table.from_batches(rows).combine_chunks()
+    rows.clear()
     place = np.arange(table.num_rows)
     np.random.default_rng([seed, bucket]).shuffle(place)  # Fisher-Yates
-    table = table.take(pa.array(place))
     at = table.schema.get_field_index("shard_place")
-    table = table.set_column(at, "shard_place", pa.array(np.arange(table.num_rows), pa.int64()))
-    yield from table.to_batches(max_chunksize=2000)
+    for start in range(0, len(place), _OUT):
+        part = table.take(pa.array(place[start : start + _OUT]))
+        part = part.set_column(at, "shard_place", pa.array(np.arange(start, start + part.num_rows), pa.int64()))
+        yield from part.combine_chunks().to_batches()
 
 
 def _shuffle_buckets(seed: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -11,6 +11,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a batch of rows that goes to a Python worker, unless one row has more.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 _LOCAL_DIRS: dict[str, str] = {}
 _SHREDDING = threading.Lock()
 _WITHIN: list[int] = []
@@ -41,6 +44,14 @@ def share_code(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [here, known]))
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Python workers get rows in batches of a few MB; Spark's own bound, of 64 MB, is about a whole
+    split of texts, which each worker and the JVM beside it keep in memory several times. Spark reads
+    it when a job starts, so it stays set for the session; a value that the session has is left."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
